@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +22,31 @@ from wardframe.fixed_values import (
     YES,
 )
 from wardframe.functions.measures import class_above, class_at_least
+from wardframe.operators import fitting, labelling, metrics, prepare
 from wardframe.operators import interventions as what_if
-from wardframe.operators import labelling, metrics, prepare
 from wardframe.operators.classify import group_flags, split_codes
 from wardframe.operators.correlation import correlation_long
 from wardframe.operators.keys import first_per_key, first_rows, restricted
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.operators.notes import ecg_by_patient, radiology_by_admission, report_texts
-from wardframe.operators.scoring import ALL_CONCEPTS, CONCEPTS, score_label, score_model
+from wardframe.operators.scoring import (
+    ALL_CONCEPTS,
+    CONCEPTS,
+    WEIGHTS_SCHEMA,
+    load_weights,
+    save_weights,
+    score_label,
+    score_model,
+    weight_rows,
+)
 from wardframe.operators.statistics import summary_rows
 from wardframe.operators.worst_row import ORGANS, stay_summary, worst_row_by_window
 from wardframe.plans import cohort_features as features
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
 from wardframe.plans.concept_study import BASE, CONTEXT, ConceptStudy
+from wardframe.session import shared_folder
+from wardframe.sources.readers import read_modelling_csv, read_notes_csv
+from wardframe.sources.sinks import append_labels, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,8 +213,13 @@ def chunks_of_joined_notes(spark, sf_dir):
 
 @query
 def prompt_column(spark, sf_dir):
-    rows = labelling.chunk_rows(_texts(spark, sf_dir), KEY, "discharge_text")
-    return labelling.with_prompt(rows, "pneumonia_detected").select(KEY, "chunk_no", "prompt")
+    """The prompts of all eight concepts, each over the chunks of its first text."""
+    notes = _texts(spark, sf_dir)
+    parts = []
+    for text in dict.fromkeys(t.first_source().values()):
+        concepts = [c for c, source in t.first_source().items() if source == text]
+        parts.append(labelling.prompt_rows(labelling.chunk_rows(notes, KEY, text), concepts))
+    return reduce(DataFrame.unionByName, parts).select(KEY, "concept", "chunk_no", "prompt")
 
 
 def _keyword_labels(spark, sf_dir, concept, text, null_if_empty=False):
@@ -345,6 +364,49 @@ def correlation(spark, sf_dir):
     return long.select("concept_a", "concept_b", F.round("r", 6).alias("r"))
 
 
+# --- files: the label sink, the CSV sources and the weight table ----------------------
+
+
+def _fresh_path(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def label_sink(spark, sf_dir):
+    """Labels appended twice: first the covered texts, then all; none is added twice."""
+    path = _fresh_path(spark, "labels")
+    every = _keyword_labels(spark, sf_dir, "trali_detected", "discharge_text")
+    covered = t.table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY))
+    append_labels(every.join(covered, KEY, "left_semi"), path)
+    append_labels(every, path)
+    return spark.read.schema(every.schema).parquet(path)
+
+
+@query
+def notes_csv_source(spark, sf_dir):
+    """Consolidated notes written and read as CSV, with line breaks and quotes inside."""
+    path = _fresh_path(spark, "notes-csv")
+    write_csv(notes_consolidated(spark, sf_dir), path)
+    return read_notes_csv(spark, path)
+
+
+@query
+def modelling_csv_source(spark, sf_dir):
+    path = _fresh_path(spark, "frame-csv")
+    write_csv(_frame(spark, sf_dir), path)
+    return read_modelling_csv(spark, path)
+
+
+@query
+def weights_roundtrip(spark, sf_dir):
+    """The test rows scored with a model that was saved and loaded."""
+    path = _fresh_path(spark, "weights")
+    save_weights(spark, path, {"base": t.base_model(), "plain": t.plain_model()})
+    model = load_weights(spark, path)["base"]
+    rows = score_model(_test_rows(spark, sf_dir), model, BASE, "base_prob")
+    return rows.select(KEY, LABEL, *_rounded("base_prob", *(BASE + c for c in CONCEPTS)))
+
+
 # --- scoring and evaluation --------------------------------------------------------------
 
 
@@ -522,3 +584,60 @@ def flip_listing(spark, sf_dir):
     setting = study.setting(enhanced=True, kind="truth")
     rows = what_if.flip_listing(study.scored, KEY, what_if.single_flips(), setting, "context_outcome")
     return rows.select(KEY, "outcome", "intervention", *_rounded("new_prob"))
+
+
+# --- fitting ------------------------------------------------------------------------------
+
+
+def _prepared(spark, sf_dir):
+    """Prepared frame of the session's study."""
+    return _study(spark, sf_dir).frame
+
+
+def _weights(spark, name, model):
+    rows = spark.createDataFrame(weight_rows(name, model), WEIGHTS_SCHEMA)
+    return rows.select("model", "layer", "src", "dst", F.round("w", 6).alias("w"))
+
+
+@query
+def fit_logistic(spark, sf_dir):
+    return _weights(spark, "plain", fitting.fit_logistic(_prepared(spark, sf_dir)))
+
+
+@query
+def fit_cbm_sequential(spark, sf_dir):
+    return _weights(spark, "base", fitting.fit_sequential(_prepared(spark, sf_dir)))
+
+
+@query
+def fit_cbm_sequential_context(spark, sf_dir):
+    return _weights(spark, "context", fitting.fit_sequential(_prepared(spark, sf_dir), with_text=True))
+
+
+@query
+def fit_cbm_joint(spark, sf_dir):
+    return _weights(spark, "base", fitting.fit_joint(_prepared(spark, sf_dir)).model)
+
+
+@query
+def fit_cbm_joint_context(spark, sf_dir):
+    return _weights(spark, "context", fitting.fit_joint(_prepared(spark, sf_dir), with_text=True).model)
+
+
+def _label_fits(spark, sf_dir, predicted_by):
+    frame = _prepared(spark, sf_dir)
+    parts = [
+        _weights(spark, name, fitting.fit_label_from_concepts(frame, predicted_by, text))
+        for name, text in (("plain", False), ("with_text", True))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def fit_c_to_y_true(spark, sf_dir):
+    return _label_fits(spark, sf_dir, None)
+
+
+@query
+def fit_c_to_y_pred(spark, sf_dir):
+    return _label_fits(spark, sf_dir, fitting.fit_sequential(_prepared(spark, sf_dir)))

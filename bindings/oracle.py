@@ -322,9 +322,20 @@ ORACLE_SQL["chunks_of_joined_notes"] = (
     )
     + f"SELECT {KEY}, CAST(chunk_no AS BIGINT) AS chunk_no, chunk FROM chunks"
 )
-_BEFORE, _AFTER = (_quoted(p) for p in PROMPTS["pneumonia_detected"].split("{text}"))
-ORACLE_SQL["prompt_column"] = _with(NOTES, CHUNKS) + f"""
-SELECT {KEY}, chunk_no, {_BEFORE} || chunk || {_AFTER} AS prompt FROM chunks"""
+
+
+def _prompts() -> str:
+    selects = []
+    for concept, sources in t.TEXT_SOURCES.items():
+        before, after = (_quoted(p) for p in PROMPTS[concept].split("{text}"))
+        selects.append(
+            f"SELECT {KEY}, '{concept}' AS concept, chunk_no, {before} || chunk || {after} AS prompt FROM c_{sources[0]}"
+        )
+    texts = dict.fromkeys(s[0] for s in t.TEXT_SOURCES.values())
+    return _with(NOTES, *(_chunks(f"c_{x}", "notes", KEY, x) for x in texts)) + " UNION ALL ".join(selects)
+
+
+ORACLE_SQL["prompt_column"] = _prompts()
 
 
 def _answers(name: str, words, chunks: str) -> str:
@@ -410,6 +421,14 @@ ORACLE_SQL["label_incremental"] = (
 ORACLE_SQL["label_batch"] = f"""
 SELECT doc_id AS {KEY}, CAST(length(text) AS INTEGER) AS text_length FROM documents ORDER BY doc_id LIMIT {BATCH_ROWS}"""
 
+ORACLE_SQL["label_sink"] = (
+    _with(NOTES, *_label_parts("trali_detected", "discharge_text", "_t")) + "SELECT * FROM labels_t"
+)
+_consolidated = ORACLE_SQL["notes_consolidated"]
+ORACLE_SQL["notes_csv_source"] = f"""
+SELECT hadm_id, {', '.join(f"coalesce({c}, '') AS {c}" for c in ('discharge_note_id', 'discharge_text', 'radiology_note_ids', 'radiology_texts', 'ecd_study_ids', 'ecd_combined_reports'))}
+FROM ({_consolidated})"""
+
 # --- modelling frame ----------------------------------------------------------------------
 
 LINES = "lines AS (SELECT l_orderkey, " + ", ".join(f"{e} AS {n}" for n, e in t.LINE_COLUMNS.items()) + " FROM lineitem)"
@@ -470,6 +489,7 @@ ORACLE_SQL["modelling_frame"] = (
     + ", ".join(f"coalesce(wide.{c}, 0) AS {c}" for c in C_TEXT)
     + f", frame.{LABEL} FROM frame LEFT JOIN wide ON wide.{KEY} = frame.{KEY}"
 )
+ORACLE_SQL["modelling_csv_source"] = _with(*FRAME) + "SELECT * FROM frame"
 ORACLE_SQL["hash_split"] = _with(*FRAME, SPLIT) + f"SELECT {KEY}, split FROM split_frame"
 ORACLE_SQL["median_impute"] = _with(*FRAME, SPLIT, STATS, IMPUTED) + f"SELECT {KEY}, split, {', '.join(SCALED)} FROM imputed"
 ORACLE_SQL["minmax_scale"] = _with(*READY) + f"SELECT {KEY}, split, {', '.join(SCALED)} FROM prepared"
@@ -548,6 +568,7 @@ ORACLE_SQL["score_cbm"] = _with(*SCORED) + f"""
 SELECT {KEY}, {LABEL}, {_rounds('base_prob', *('base_' + c for c in CONCEPTS))} FROM scored"""
 ORACLE_SQL["score_cbm_context"] = _with(*SCORED) + f"""
 SELECT {KEY}, {LABEL}, {_rounds('context_prob', *('context_' + c for c in CONCEPTS))} FROM scored"""
+ORACLE_SQL["weights_roundtrip"] = ORACLE_SQL["score_cbm"]
 ORACLE_SQL["hard_class"] = """
 SELECT l_orderkey, l_linenumber,
   CASE WHEN round(l_discount * 100) / 10 > 0.5 THEN 1 ELSE 0 END AS above,

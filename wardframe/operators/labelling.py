@@ -27,6 +27,7 @@ from wardframe.functions.texts import (
     says_yes,
     stripped,
 )
+from wardframe.session import materialize
 
 Labeller = Callable[[str], str]
 
@@ -43,6 +44,15 @@ def with_prompt(chunks: DataFrame, concept: str) -> DataFrame:
     return chunks.withColumn("prompt", fill_template(PROMPTS[concept], F.col("chunk")))
 
 
+def prompt_rows(chunks: DataFrame, concepts: Sequence[str]) -> DataFrame:
+    """One row per chunk and concept, from one pass over the chunks."""
+    prompts = [
+        F.struct(F.lit(c).alias("concept"), fill_template(PROMPTS[c], F.col("chunk")).alias("prompt"))
+        for c in concepts
+    ]
+    return chunks.withColumn("asked", F.explode(F.array(*prompts))).select("*", "asked.*").drop("asked", "chunk")
+
+
 def _answer(labeller: Labeller, prompt: str) -> str:
     try:
         return labeller(prompt)
@@ -161,6 +171,24 @@ def unsettled(df: DataFrame, first: DataFrame, key: str) -> DataFrame:
     return df.join(first.where(F.col("detected") == YES).select(key), key, "left_anti")
 
 
+def label_cascade(
+    df: DataFrame, key: str, texts: Sequence[str], concept: str, make_labeller: Callable[[], Labeller]
+) -> DataFrame:
+    """Label the first text; ask about the second only where that said no.
+
+    The first pass is written before it is read twice, so no chunk is put to
+    the labeller again.
+    """
+    first = materialize(label_text(df, key, texts[0], concept, make_labeller), "first-pass")
+    second = label_text(unsettled(df, first, key), key, texts[1], concept, make_labeller)
+    lengths = df.select(key, F.coalesce(F.length(texts[1]), F.lit(0)).alias("other_length"))
+    return (
+        cascaded(first, second, key)
+        .join(lengths, key)
+        .select(key, F.greatest("text_length", "other_length").alias("text_length"), "detected", "explanation")
+    )
+
+
 def unseen(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """The rows that the label table does not hold yet."""
     return df.join(labels.select(key), key, "left_anti")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from types import ModuleType
+
 import wardframe
 from pyspark import cloudpickle
 
 
-def ship_by_value() -> None:
-    """Send the library's own functions with the task instead of importing them there.
+def ship_by_value(*modules: ModuleType) -> None:
+    """Send functions of the library, and of ``modules``, along with the task.
 
-    Needed only where the package is not installed on the executors.
+    Needed only where they are not installed on the executors.
     """
-    cloudpickle.register_pickle_by_value(wardframe)
+    for module in (wardframe, *modules):
+        cloudpickle.register_pickle_by_value(module)

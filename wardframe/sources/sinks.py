@@ -8,6 +8,18 @@ from pyspark.sql.utils import AnalysisException
 from wardframe.fixed_values import KEY
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV that ``read_csv`` restores: quotes, line breaks and outer blanks included."""
+    df.write.csv(
+        path,
+        header=True,
+        quote='"',
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+
+
 def existing_labels(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parquet") -> DataFrame | None:
     """The label table written so far, or None before the first write."""
     try:
