@@ -180,7 +180,7 @@ JOINT_WEIGHT_DECAY = 1e-4
 JOINT_EPOCHS = 100
 SEQUENTIAL_WEIGHT_DECAY = 1e-3
 CONCEPT_LABEL_WEIGHT_DECAY = {"plain": 1e-4, "with_text": 8e-5}
-PATIENCE = 15
+JOINT_PATIENCE = 30
 TEST_PERCENT = 20
 VALIDATION_PERCENT = 20
 

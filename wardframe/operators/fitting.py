@@ -28,7 +28,7 @@ from wardframe.fixed_values import (
     JOINT_WEIGHT_DECAY,
     LABEL,
     LOGISTIC_WEIGHT_DECAY,
-    PATIENCE,
+    JOINT_PATIENCE,
     SEQUENTIAL_WEIGHT_DECAY,
 )
 from wardframe.operators.correlation import product_sums
@@ -238,7 +238,7 @@ def fit_joint(
     epochs: int = JOINT_EPOCHS,
     learning_rate: float = JOINT_LEARNING_RATE,
     weight_decay: float = JOINT_WEIGHT_DECAY,
-    patience: int = PATIENCE,
+    patience: int = JOINT_PATIENCE,
 ) -> JointFit:
     """Concepts and label together, by full-batch Adam with early stopping.
 

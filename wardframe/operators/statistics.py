@@ -12,8 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of the sketch is at most rows / ACCURACY; the bracket is two wide.
+# The rank error of the sketch is at most rows / ACCURACY. The margin doubles
+# that, which also covers the neighbouring rank from SMALL rows on; below, all
+# values are few enough to look at.
 ACCURACY = 10_000
+SMALL = 10 * ACCURACY
 _MARGIN = 2.0 / ACCURACY
 
 
@@ -70,9 +73,10 @@ def column_stats(
             if s["count"]:
                 marks = dict(zip(shares, s["marks"], strict=True))
                 lower, upper = max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)
+                few = s["count"] <= SMALL
                 wanted[name, q] = (
-                    s["low"] if lower == 0.0 else marks[lower],
-                    s["high"] if upper == 1.0 else marks[upper],
+                    s["low"] if few or lower == 0.0 else marks[lower],
+                    s["high"] if few or upper == 1.0 else marks[upper],
                     q * (s["count"] - 1),
                 )
     found = _at_ranks(df, wanted)
