@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardframe.operators.sums import batch_totals
+
 
 def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     row = df.agg(*(F.avg(F.col(c).cast("double")).alias(c) for c in columns)).first()
@@ -18,31 +19,18 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 def product_sums(df: DataFrame, columns: Sequence[str], centre: Mapping[str, float]) -> np.ndarray:
     """Sum over rows of the outer product of the centred columns.
 
-    Each task multiplies its Arrow batches and emits one small matrix; Spark
-    adds the matrices cell by cell, and only the sum is fetched. One aggregate
-    with an expression per pair would be too wide to compile.
+    Matrix products of Arrow batches, added up by Spark. One aggregate with an
+    expression per pair would be too wide to compile.
     """
     names, size = list(columns), len(columns)
     shift = np.array([centre[c] for c in names])
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matrix = np.zeros((size, size))
-        for batch in batches:
-            centred = batch.to_numpy(dtype=float) - shift
-            matrix += centred.T @ centred
-        yield pd.DataFrame({"cells": [matrix.ravel()]})
+    def products(batch: np.ndarray) -> np.ndarray:
+        centred = batch - shift
+        return (centred.T @ centred).ravel()
 
     values = df.select(*(F.col(c).cast("double").alias(c) for c in names))
-    cells = (
-        values.mapInPandas(partial, "cells array<double>")
-        .select(F.posexplode("cells").alias("cell", "value"))
-        .groupBy("cell")
-        .agg(F.sum("value").alias("value"))
-    )
-    matrix = np.zeros(size * size)
-    for row in cells.collect():  # columns squared, whatever the number of rows
-        matrix[row["cell"]] = row["value"]
-    return matrix.reshape(size, size)
+    return batch_totals(values, size * size, products).reshape(size, size)
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:

@@ -7,13 +7,11 @@ pass over rows is a Spark aggregate. No model has an intercept.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,38 +38,83 @@ from wardframe.operators.scoring import (
     LabelModel,
     score_concepts,
 )
+from wardframe.operators.sums import batch_totals
 
 SEED = 25
+NEWTON_STEPS = 50
+NEWTON_TOLERANCE = 1e-9
 
 
 def _train(frame: DataFrame) -> DataFrame:
     return frame.where(F.col(SPLIT) == "train")
 
 
+@contextmanager
+def _kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Hold the narrow training columns while a fit passes over them."""
+    rows = rows.select(*(F.col(c).cast("double").alias(c) for c in rows.columns))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def _logistic_sums(batch: np.ndarray, weights: np.ndarray, targets: int) -> np.ndarray:
+    """Rows, then loss, gradient and curvature of every target, summed over a batch."""
+    x, y = batch[:, :-targets], batch[:, -targets:]
+    parts = [np.array([len(x)])]
+    for k in range(targets):
+        logit = x @ weights[k]
+        p = 1.0 / (1.0 + np.exp(-logit))
+        loss = np.logaddexp(0.0, logit) - y[:, k] * logit
+        parts += [np.array([loss.sum()]), x.T @ (p - y[:, k]), ((x * (p * (1 - p))[:, None]).T @ x).ravel()]
+    return np.concatenate(parts)
+
+
+def fit_logistics(
+    frame: DataFrame, columns: Sequence[str], targets: Sequence[str], weight_decay: float
+) -> dict[str, dict[str, float]]:
+    """Cross-entropy with an L2 penalty for several 0/1 targets at once.
+
+    Newton steps: with a few dozen columns the curvature matrix is tiny, so a
+    handful of passes over the rows reach the minimum that a gradient method
+    needs dozens for, and all targets share every pass.
+    """
+    width, many = len(columns), len(targets)
+    weights = np.zeros((many, width))
+    previous, losses = weights.copy(), np.full(many, np.inf)
+    with _kept(_train(frame).select(*columns, *targets)) as rows:
+        for _ in range(NEWTON_STEPS):
+            now = weights.copy()
+            sums = batch_totals(
+                rows, 1 + many * (1 + width + width * width), lambda b, w=now: _logistic_sums(b, w, many)
+            )
+            moved = 0.0
+            for k, part in enumerate(sums[1:].reshape(many, -1) / max(sums[0], 1.0)):
+                w = now[k]
+                loss = part[0] + weight_decay / 2 * w @ w
+                if loss > losses[k] + 1e-12:  # overshot: go half way back
+                    weights[k] = (w + previous[k]) / 2
+                else:
+                    gradient = part[1 : 1 + width] + weight_decay * w
+                    curvature = part[1 + width :].reshape(width, width) + weight_decay * np.eye(width)
+                    weights[k] = w - np.linalg.solve(curvature, gradient)
+                    previous[k], losses[k] = w, loss
+                moved = max(moved, float(np.abs(weights[k] - w).max()))
+            if moved < NEWTON_TOLERANCE:
+                break
+    return {t: dict(zip(columns, map(float, weights[k]), strict=True)) for k, t in enumerate(targets)}
+
+
 def fit_logistic(
     frame: DataFrame,
     columns: Sequence[str] = FEATURES,
     label: str = LABEL,
     weight_decay: float = LOGISTIC_WEIGHT_DECAY,
-    names: Sequence[str] | None = None,
 ) -> LabelModel:
-    """Cross-entropy with an L2 penalty, minimised on the training rows.
-
-    ``names`` are the names the weights get where they differ from the columns.
-    """
-    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(
-        _train(frame).select(*columns, F.col(label).cast("double").alias("target"))
-    )
-    model = LogisticRegression(
-        featuresCol="features",
-        labelCol="target",
-        fitIntercept=False,
-        standardization=False,
-        regParam=weight_decay,
-        maxIter=200,
-        tol=1e-9,
-    ).fit(rows)
-    return LabelModel(dict(zip(names or columns, map(float, model.coefficients), strict=True)))
+    """The label from columns, fitted on the training rows."""
+    return LabelModel(fit_logistics(frame, columns, [label], weight_decay)[label])
 
 
 def fit_linear_concepts(
@@ -83,11 +126,12 @@ def fit_linear_concepts(
     whose minimum needs only sums of products: one pass over the rows and a
     solve as wide as there are features.
     """
-    columns = [*FEATURES, *concepts]
-    rows = _train(frame).select(*columns)
+    columns = [*FEATURES, *concepts, "one"]
+    rows = _train(frame).withColumn("one", F.lit(1.0))
     sums = product_sums(rows, columns, dict.fromkeys(columns, 0.0))
-    width = len(FEATURES)
-    scale = 2.0 / (rows.count() * len(concepts))
+    width, trained = len(FEATURES), sums[-1, -1]
+    sums = sums[:-1, :-1]
+    scale = 2.0 / (trained * len(concepts))
     left = sums[:width, :width] * scale + weight_decay * np.eye(width)
     solved = np.linalg.solve(left, sums[:width, width:] * scale)
     return {c: dict(zip(FEATURES, map(float, solved[:, j]), strict=True)) for j, c in enumerate(concepts)}
@@ -100,8 +144,7 @@ def fit_concepts(frame: DataFrame, weight_decay: float = SEQUENTIAL_WEIGHT_DECAY
     once per binary concept on each of them.
     """
     weights = fit_linear_concepts(frame, C_CONTINUOUS, weight_decay)
-    for c in C_BINARY:
-        weights[c] = dict(fit_logistic(frame, FEATURES, c, weight_decay * len(C_BINARY)).weights)
+    weights |= fit_logistics(frame, FEATURES, C_BINARY, weight_decay * len(C_BINARY))
     return {c: weights[c] for c in CONCEPTS}
 
 
@@ -119,8 +162,8 @@ def fit_label_from_concepts(
         prefix = "predicted_"
         frame = score_concepts(frame, predicted_by, prefix)
     text = C_TEXT if with_text else ()
-    columns = [*(prefix + c for c in CONCEPTS), *text]
-    return fit_logistic(frame, columns, LABEL, weight_decay, names=[*CONCEPTS, *text])
+    fitted = fit_logistic(frame, [*(prefix + c for c in CONCEPTS), *text], LABEL, weight_decay)
+    return LabelModel({name.removeprefix(prefix): w for name, w in fitted.weights.items()})
 
 
 def fit_sequential(
@@ -192,35 +235,23 @@ def batch_sums(x: np.ndarray, c: np.ndarray, s: np.ndarray, y: np.ndarray, w: We
 def joint_step(rows: DataFrame, w: Weights, text: Sequence[str]) -> tuple[float, float, np.ndarray]:
     """Mean training loss, mean validation loss and mean training gradient.
 
-    One job: every task adds up its Arrow batches and emits one array, the
-    arrays are added position by position, and only their sum is fetched.
+    One job per call.
     """
     features, concepts, width = len(FEATURES), len(CONCEPTS), len(text)
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums_of(batch: np.ndarray) -> np.ndarray:
         total = np.zeros(4 + w.flat().size)
-        for batch in batches:
-            values = np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
-            for train in (True, False):
-                part = values[(values[:, -1] == 1.0) == train]
-                x, c = part[:, :features], part[:, features : features + concepts]
-                s = part[:, features + concepts : features + concepts + width]
-                loss, gradient = batch_sums(x, c, s, part[:, -2], w)
-                place = 0 if train else 2
-                total[place : place + 2] += (len(part), loss)
-                if train:
-                    total[4:] += gradient
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], names=["sums"])
-
-    cells = (
-        rows.mapInArrow(partial, "sums array<double>")
-        .select(F.posexplode("sums").alias("cell", "value"))
-        .groupBy("cell")
-        .agg(F.sum("value").alias("value"))
-    )
-    sums = np.zeros(4 + w.flat().size)
-    for row in cells.collect():  # one row per weight
-        sums[row["cell"]] = row["value"]
+        for train, place in ((True, 0), (False, 2)):
+            part = batch[(batch[:, -1] == 1.0) == train]
+            x, c = part[:, :features], part[:, features : features + concepts]
+            s = part[:, features + concepts : features + concepts + width]
+            loss, gradient = batch_sums(x, c, s, part[:, -2], w)
+            total[place : place + 2] = len(part), loss
+            if train:
+                total[4:] = gradient
+        return total
+
+    sums = batch_totals(rows, 4 + w.flat().size, sums_of)
     train_rows, train_loss, valid_rows, valid_loss = sums[:4]
     return train_loss / max(train_rows, 1), valid_loss / max(valid_rows, 1), sums[4:] / max(train_rows, 1)
 
@@ -247,16 +278,16 @@ def fit_joint(
     """
     text = C_TEXT if with_text else ()
     is_train = (F.col(SPLIT) == "train").cast("double")
-    columns = [F.col(c).cast("double") for c in (*FEATURES, *CONCEPTS, *text, LABEL)]
-    rows = frame.where(F.col(SPLIT).isin("train", "validation")).select(*columns, is_train.alias("is_train"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        values = Weights.start(len(text)).flat()
-        first, second = np.zeros_like(values), np.zeros_like(values)
-        fit = JointFit(ConceptModel({}, LabelModel({})))
-        best, best_loss, waited = values, np.inf, 0
+    rows = frame.where(F.col(SPLIT).isin("train", "validation")).select(
+        *FEATURES, *CONCEPTS, *text, LABEL, is_train.alias("is_train")
+    )
+    values = Weights.start(len(text)).flat()
+    first, second = np.zeros_like(values), np.zeros_like(values)
+    fit = JointFit(ConceptModel({}, LabelModel({})))
+    best, best_loss, waited = values, np.inf, 0
+    with _kept(rows) as kept:
         for epoch in range(1, epochs + 1):
-            train_loss, valid_loss, gradient = joint_step(rows, Weights.from_flat(values, len(text)), text)
+            train_loss, valid_loss, gradient = joint_step(kept, Weights.from_flat(values, len(text)), text)
             fit.train_losses.append(train_loss)
             fit.validation_losses.append(valid_loss)
             if valid_loss < best_loss:
@@ -270,8 +301,6 @@ def fit_joint(
             second = 0.999 * second + 0.001 * gradient**2
             step = (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-8)
             values = values - learning_rate * step
-    finally:
-        rows.unpersist()
     w = Weights.from_flat(best, len(text))
     concepts = {c: dict(zip(FEATURES, map(float, w.concept[:, j]), strict=True)) for j, c in enumerate(CONCEPTS)}
     label = dict(zip((*CONCEPTS, *text), map(float, np.concatenate([w.label, w.text])), strict=True))

@@ -6,17 +6,18 @@ literals of the plans that use them; the rows never leave the executors.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The rank error of the sketch is at most rows / ACCURACY. The margin doubles
 # that, which also covers the neighbouring rank from SMALL rows on; below, all
 # values are few enough to look at.
-ACCURACY = 10_000
-SMALL = 10 * ACCURACY
+ACCURACY = 1_000
+SMALL = 4 * ACCURACY
 _MARGIN = 2.0 / ACCURACY
 
 
@@ -36,8 +37,17 @@ class ColumnStats:
         return self.quantiles.get(0.5)
 
 
-def _as_double(name: str) -> F.Column:
-    return F.col(name).cast("double")
+def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (slot, v), one per listed column that holds a value."""
+    entries = [
+        F.struct(F.lit(slot).alias("slot"), F.col(name).cast("double").alias("v"))
+        for slot, name in enumerate(columns)
+    ]
+    return df.select(F.inline(F.array(*entries))).where(F.col("v").isNotNull())
+
+
+def _per_slot(values: Sequence[float]) -> Column:
+    return F.get(F.array(*(F.lit(float(v)) for v in values)), F.col("slot"))
 
 
 def column_stats(
@@ -52,83 +62,70 @@ def column_stats(
     percentile aggregate would hold every distinct value in one task instead.
     """
     shares = sorted({p for q in quantiles for p in (max(0.0, q - _MARGIN), min(1.0, q + _MARGIN))})
-    first_pass = []
-    for position, name in enumerate(columns):
-        value = _as_double(name)
-        first_pass.append(
-            F.struct(
-                F.count(value).alias("count"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("std"),
-                F.min(value).alias("low"),
-                F.max(value).alias("high"),
-                (F.percentile_approx(value, shares, ACCURACY) if shares else F.lit(None)).alias("marks"),
-            ).alias(f"s{position}")
-        )
-    row = df.agg(*first_pass).first()
-    stats = {name: row[f"s{position}"] for position, name in enumerate(columns)}
+    value = F.col("v")
+    aggregates = [
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+    ]
+    if shares:
+        aggregates.append(F.percentile_approx(value, shares, ACCURACY).alias("marks"))
+    rows = _long(df, columns).groupBy("slot").agg(*aggregates).collect()  # one row per column
+    found = {columns[row["slot"]]: row for row in rows}
     wanted = {}
-    for name, s in stats.items():
+    for name, row in found.items():
+        marks = dict(zip(shares, row["marks"], strict=True)) if shares else {}
         for q in quantiles:
-            if s["count"]:
-                marks = dict(zip(shares, s["marks"], strict=True))
-                lower, upper = max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)
-                few = s["count"] <= SMALL
-                wanted[name, q] = (
-                    s["low"] if few or lower == 0.0 else marks[lower],
-                    s["high"] if few or upper == 1.0 else marks[upper],
-                    q * (s["count"] - 1),
-                )
-    found = _at_ranks(df, wanted)
-    return {
-        name: ColumnStats(
-            s["count"],
-            s["mean"],
-            s["std"],
-            s["low"],
-            s["high"],
-            {q: found.get((name, q)) for q in quantiles},
-        )
-        for name, s in stats.items()
-    }
-
-
-def _at_ranks(df: DataFrame, wanted: dict[tuple[str, float], tuple[float, float, float]]) -> dict:
+            lower, upper = max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)
+            few = row["count"] <= SMALL
+            wanted[name, q] = (
+                row["low"] if few or lower == 0.0 else marks[lower],
+                row["high"] if few or upper == 1.0 else marks[upper],
+                q * (row["count"] - 1),
+            )
+    exact = _at_ranks(df, wanted)
+    stats = {}
+    for name in columns:
+        row = found.get(name)
+        own = {q: exact.get((name, q)) for q in quantiles}
+        if row is None:
+            stats[name] = ColumnStats(0, None, None, None, None, own)
+        else:
+            stats[name] = ColumnStats(row["count"], row["mean"], row["std"], row["low"], row["high"], own)
+    return stats
+
+
+def _at_ranks(
+    df: DataFrame, wanted: dict[tuple[str, float], tuple[float, float, float]]
+) -> dict[tuple[str, float], float]:
     """Values at fractional ranks, given an interval known to hold them."""
     if not wanted:
         return {}
     slots = list(wanted)
-    entries = []
-    for slot, (name, _) in enumerate(slots):
-        lower, upper, _rank = wanted[slots[slot]]
-        value = _as_double(name)
-        # rows below the interval share one entry; rows above it are not needed
-        entries.append(
-            F.when(value < lower, F.struct(F.lit(slot).alias("slot"), F.lit(None).cast("double").alias("v")))
-            .when(value <= upper, F.struct(F.lit(slot).alias("slot"), value.alias("v")))
-        )
+    lower, upper, rank = (_per_slot([wanted[s][i] for s in slots]) for i in range(3))
+    # rows below the interval share one null entry; rows above it are not needed
     counted = (
-        df.select(F.explode(F.array(*entries)).alias("e"))
-        .where(F.col("e").isNotNull())
-        .groupBy("e.slot", "e.v")
+        _long(df, [name for name, _ in slots])
+        .where(F.col("v") <= upper)
+        .groupBy("slot", F.when(F.col("v") >= lower, F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(
-        Window.partitionBy("slot").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranks = F.element_at(F.array(*(F.lit(float(wanted[s][2])) for s in slots)), F.col("slot") + 1)
-    running = counted.withColumn("upto", upto).withColumn("rank", ranks).where(F.col("v").isNotNull())
+    order = Window.partitionBy("slot").orderBy(F.col("v").asc_nulls_first())
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    running = counted.withColumn("upto", upto).where(F.col("v").isNotNull())
     picked = running.groupBy("slot").agg(
-        F.min(F.when(F.col("upto") > F.floor("rank"), F.col("v"))).alias("floor"),
-        F.min(F.when(F.col("upto") > F.ceil("rank"), F.col("v"))).alias("ceil"),
-        F.first("rank").alias("rank"),
+        F.min(F.when(F.col("upto") > F.floor(rank), F.col("v"))).alias("below"),
+        F.min(F.when(F.col("upto") > F.ceil(rank), F.col("v"))).alias("above"),
     )
     result = {}
     for row in picked.collect():  # one row per column and quantile
-        if row["floor"] is None or row["ceil"] is None:
+        if row["below"] is None or row["above"] is None:
             raise RuntimeError("a quantile fell outside its sketch interval")
-        part = row["rank"] - int(row["rank"])
-        result[slots[row["slot"]]] = row["floor"] + (row["ceil"] - row["floor"]) * part
+        place = wanted[slots[row["slot"]]][2]
+        part = place - math.floor(place)
+        result[slots[row["slot"]]] = row["below"] + (row["above"] - row["below"]) * part
     return result
 
 
@@ -139,5 +136,8 @@ def summary_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         (name, s.count, s.mean, s.std, s.low, s.quantiles[0.25], s.quantiles[0.5], s.quantiles[0.75], s.high)
         for name, s in stats.items()
     ]
-    schema = "feature string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    schema = (
+        "feature string, count long, mean double, std double, min double, "
+        "p25 double, p50 double, p75 double, max double"
+    )
     return df.sparkSession.createDataFrame(rows, schema)
