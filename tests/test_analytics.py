@@ -23,6 +23,7 @@ from wardframe.operators.scoring import (
     save_weights,
     score_model,
 )
+from wardframe.operators.sums import as_blocks
 from wardframe.operators.statistics import column_stats, summary_rows
 from wardframe.plans.concept_study import BASE, CONTEXT, ConceptStudy
 from wardframe.sources.readers import read_modelling_csv
@@ -419,7 +420,7 @@ def test_joint_step_adds_up_over_tasks(frame, pandas_prepared):
     weights = fitting.Weights.start(len(C_TEXT))
     columns = [F.col(c).cast("double") for c in (*FEATURES, *CONCEPTS, *C_TEXT, LABEL)]
     rows = ready.where("split <> 'test'").select(*columns, (F.col("split") == "train").cast("double").alias("t"))
-    train_loss, valid_loss, gradient = fitting.joint_step(rows, weights, C_TEXT)
+    train_loss, valid_loss, gradient = fitting.joint_step(as_blocks(rows), weights, C_TEXT)
     for split, found in (("train", train_loss), ("validation", valid_loss)):
         data = arrays(pandas_prepared, split)
         loss, expected = fitting.batch_sums(*data, weights)

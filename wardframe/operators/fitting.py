@@ -38,7 +38,7 @@ from wardframe.operators.scoring import (
     LabelModel,
     score_concepts,
 )
-from wardframe.operators.sums import batch_totals
+from wardframe.operators.sums import as_blocks, block_totals
 
 SEED = 25
 NEWTON_STEPS = 50
@@ -51,13 +51,13 @@ def _train(frame: DataFrame) -> DataFrame:
 
 @contextmanager
 def _kept(rows: DataFrame) -> Iterator[DataFrame]:
-    """Hold the narrow training columns while a fit passes over them."""
-    rows = rows.select(*(F.col(c).cast("double").alias(c) for c in rows.columns))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    """The rows as packed blocks, held while a fit passes over them."""
+    doubles = rows.select(*(F.col(c).cast("double").alias(c) for c in rows.columns))
+    blocks = as_blocks(doubles).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield rows
+        yield blocks
     finally:
-        rows.unpersist()
+        blocks.unpersist()
 
 
 def _logistic_sums(batch: np.ndarray, weights: np.ndarray, targets: int) -> np.ndarray:
@@ -84,12 +84,11 @@ def fit_logistics(
     width, many = len(columns), len(targets)
     weights = np.zeros((many, width))
     previous, losses = weights.copy(), np.full(many, np.inf)
-    with _kept(_train(frame).select(*columns, *targets)) as rows:
+    with _kept(_train(frame).select(*columns, *targets)) as blocks:
         for _ in range(NEWTON_STEPS):
             now = weights.copy()
-            sums = batch_totals(
-                rows, 1 + many * (1 + width + width * width), lambda b, w=now: _logistic_sums(b, w, many)
-            )
+            size = 1 + many * (1 + width + width * width)
+            sums = block_totals(blocks, width + many, size, lambda b, w=now: _logistic_sums(b, w, many))
             moved = 0.0
             for k, part in enumerate(sums[1:].reshape(many, -1) / max(sums[0], 1.0)):
                 w = now[k]
@@ -232,10 +231,11 @@ def batch_sums(x: np.ndarray, c: np.ndarray, s: np.ndarray, y: np.ndarray, w: We
     return float(loss), gradient
 
 
-def joint_step(rows: DataFrame, w: Weights, text: Sequence[str]) -> tuple[float, float, np.ndarray]:
+def joint_step(blocks: DataFrame, w: Weights, text: Sequence[str]) -> tuple[float, float, np.ndarray]:
     """Mean training loss, mean validation loss and mean training gradient.
 
-    One job per call.
+    One job per call, over blocks of features, concepts, text concepts, label
+    and a mark for training rows.
     """
     features, concepts, width = len(FEATURES), len(CONCEPTS), len(text)
 
@@ -251,7 +251,8 @@ def joint_step(rows: DataFrame, w: Weights, text: Sequence[str]) -> tuple[float,
                 total[4:] = gradient
         return total
 
-    sums = batch_totals(rows, 4 + w.flat().size, sums_of)
+    columns = features + concepts + width + 2
+    sums = block_totals(blocks, columns, 4 + w.flat().size, sums_of)
     train_rows, train_loss, valid_rows, valid_loss = sums[:4]
     return train_loss / max(train_rows, 1), valid_loss / max(valid_rows, 1), sums[4:] / max(train_rows, 1)
 
@@ -285,9 +286,9 @@ def fit_joint(
     first, second = np.zeros_like(values), np.zeros_like(values)
     fit = JointFit(ConceptModel({}, LabelModel({})))
     best, best_loss, waited = values, np.inf, 0
-    with _kept(rows) as kept:
+    with _kept(rows) as blocks:
         for epoch in range(1, epochs + 1):
-            train_loss, valid_loss, gradient = joint_step(kept, Weights.from_flat(values, len(text)), text)
+            train_loss, valid_loss, gradient = joint_step(blocks, Weights.from_flat(values, len(text)), text)
             fit.train_losses.append(train_loss)
             fit.validation_losses.append(valid_loss)
             if valid_loss < best_loss:

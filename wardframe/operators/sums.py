@@ -9,24 +9,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+Compute = Callable[[np.ndarray], np.ndarray]
 
-def batch_totals(rows: DataFrame, size: int, compute: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-    """Sum of ``compute(batch)`` over all batches of an all-double frame.
 
-    Each task adds up its own Arrow batches and emits one vector; Spark adds
-    the vectors position by position, and only their sum, ``size`` numbers, is
-    fetched.
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+
+
+def as_blocks(rows: DataFrame) -> DataFrame:
+    """An all-double frame packed into one binary block per Arrow batch.
+
+    A fit that passes over the same rows many times keeps the blocks, and each
+    pass then reads them without converting row by row again.
     """
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            total += compute(np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["sums"])
+            yield pa.RecordBatch.from_arrays([pa.array([_matrix(batch).tobytes()], pa.binary())], names=["block"])
+
+    return rows.mapInArrow(pack, "block binary")
 
+
+def _added(vectors: DataFrame, size: int) -> np.ndarray:
+    """Position-wise sum of one vector per task; only ``size`` numbers are fetched."""
     cells = (
-        rows.mapInArrow(partial, "sums array<double>")
-        .select(F.posexplode("sums").alias("cell", "value"))
+        vectors.select(F.posexplode("sums").alias("cell", "value"))
         .groupBy("cell")
         .agg(F.sum("value").alias("value"))
     )
@@ -34,3 +41,29 @@ def batch_totals(rows: DataFrame, size: int, compute: Callable[[np.ndarray], np.
     for row in cells.collect():
         result[row["cell"]] = row["value"]
     return result
+
+
+def _totals(matrices: Iterator[np.ndarray], size: int, compute: Compute) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(size)
+    for matrix in matrices:
+        total += compute(matrix)
+    yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+
+def batch_totals(rows: DataFrame, size: int, compute: Compute) -> np.ndarray:
+    """Sum of ``compute(batch)`` over all batches of an all-double frame."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _totals(map(_matrix, batches), size, compute)
+
+    return _added(rows.mapInArrow(partial, "sums array<double>"), size)
+
+
+def block_totals(blocks: DataFrame, width: int, size: int, compute: Compute) -> np.ndarray:
+    """The same over packed blocks of ``width`` columns."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = (np.frombuffer(b, np.float64) for batch in batches for b in batch.column(0).to_pylist())
+        return _totals((m.reshape(-1, width) for m in packed), size, compute)
+
+    return _added(blocks.mapInArrow(partial, "sums array<double>"), size)
