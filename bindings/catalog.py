@@ -17,6 +17,7 @@ from wardframe.fixed_values import (
     C_TEXT,
     KEY,
     LABEL,
+    TEXT_SOURCES,
     X_BINARY,
     X_CONTINUOUS,
     YES,
@@ -26,7 +27,7 @@ from wardframe.operators import fitting, labelling, metrics, prepare
 from wardframe.operators import interventions as what_if
 from wardframe.operators.classify import group_flags, split_codes
 from wardframe.operators.correlation import correlation_long
-from wardframe.operators.keys import first_per_key, first_rows, restricted
+from wardframe.operators.keys import first_per_key, first_rows
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.operators.notes import ecg_by_patient, radiology_by_admission, report_texts
 from wardframe.operators.scoring import (
@@ -266,35 +267,17 @@ def label_callable(spark, sf_dir):
 @query
 def label_cascade(spark, sf_dir):
     words = t.KEYWORDS["cardiac_failure_detected"]
-    notes = _texts(spark, sf_dir)
-    first = labelling.keyword_label_text(notes, KEY, "ecd_combined_reports", words)
-    # the built-in labeller is cheap: asking every row beats a join to skip some
-    second = labelling.keyword_label_text(notes, KEY, "discharge_text", words)
-    return labelling.cascaded(first, second, KEY)
+    return labelling.keyword_cascade(_texts(spark, sf_dir), KEY, TEXT_SOURCES["cardiac_failure_detected"], words)
 
 
 def _all_labels(spark, sf_dir):
-    """Long (key, concept, detected) for all concepts from one pass per text column."""
-    notes = _texts(spark, sf_dir)
-    found = labelling.keyword_detections(notes, KEY, t.first_source(), t.KEYWORDS)
-    cascade = labelling.keyword_detections(
-        notes, KEY, {"fallback": "discharge_text"}, {"fallback": t.KEYWORDS["cardiac_failure_detected"]}
-    )
-    missing = notes.select(KEY, (F.length("radiology_texts") == 0).alias("no_radiology"))
-    joined = found.join(cascade, KEY).join(missing, KEY)
-    hit = {c: F.col(c) for c in C_TEXT}
-    hit["cardiac_failure_detected"] = F.col("cardiac_failure_detected") | F.col("fallback")
-    hit["bilateral_infiltrates_detected"] = F.when(
-        ~F.col("no_radiology"), F.col("bilateral_infiltrates_detected")
-    )
+    """Long (key, concept, detected) for all concepts from one pass over the texts."""
+    found = labelling.keyword_detections(_texts(spark, sf_dir), KEY, t.KEYWORDS)
     rows = [
-        F.struct(
-            F.lit(c).alias("concept"),
-            F.when(h, "Yes").when(~h, "No").alias("detected"),
-        )
-        for c, h in hit.items()
+        F.struct(F.lit(c).alias("concept"), F.when(F.col(c), "Yes").when(~F.col(c), "No").alias("detected"))
+        for c in C_TEXT
     ]
-    return joined.select(KEY, F.inline(F.array(*rows)))
+    return found.select(KEY, F.inline(F.array(*rows)))
 
 
 @query

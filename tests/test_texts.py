@@ -217,3 +217,23 @@ def test_label_sink_adds_no_key_twice(spark, tmp_path, fmt):
 def test_every_prompt_has_one_place_for_the_text():
     assert set(PROMPTS) == set(C_TEXT)
     assert all(p.count("{text}") == 1 for p in PROMPTS.values())
+
+
+def test_keyword_cascade_and_detections(spark):
+    df = spark.createDataFrame(
+        [(1, "heart", "", ""), (2, "", "a heart", "opaque"), (3, None, "calm", ""), (4, "x", "y", "clear")],
+        "k long, ecd_combined_reports string, discharge_text string, radiology_texts string",
+    )
+    cascade = labelling.keyword_cascade(df, "k", ["ecd_combined_reports", "discharge_text"], ["heart"])
+    assert {r["k"]: tuple(r)[1:] for r in cascade.collect()} == {
+        1: (5, "Yes", "Yes: heart"),
+        2: (7, "Yes", "Yes: heart"),
+        3: (4, "No", "No"),
+        4: (1, "No", "No"),
+    }
+    words = {c: ["nothing"] for c in C_TEXT}
+    words |= {"cardiac_failure_detected": ["heart"], "bilateral_infiltrates_detected": ["opaque"]}
+    flags = {r["k"]: r for r in labelling.keyword_detections(df, "k", words).collect()}
+    assert [flags[i]["cardiac_failure_detected"] for i in (1, 2, 3, 4)] == [True, True, False, False]
+    assert [flags[i]["bilateral_infiltrates_detected"] for i in (1, 2, 3, 4)] == [None, True, None, False]
+    assert flags[3]["pneumonia_detected"] is False

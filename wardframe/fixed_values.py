@@ -171,6 +171,9 @@ TEXT_SOURCES = {
     "trali_detected": ("discharge_text",),
 }
 
+# concepts whose label is unknown, not no, where the text is missing
+NULL_IF_EMPTY = ("bilateral_infiltrates_detected",)
+
 # --- fixed values: fitting ---------------------------------------------------
 
 CONCEPT_LOSS_WEIGHT = 0.5

@@ -17,7 +17,9 @@ from wardframe.fixed_values import (
     NO,
     NO_ANSWER,
     NO_RADIOLOGY,
+    NULL_IF_EMPTY,
     PROMPTS,
+    TEXT_SOURCES,
     YES,
 )
 from wardframe.functions.texts import (
@@ -40,6 +42,10 @@ def chunk_rows(
     return df.select(key, F.posexplode(chunks).alias("chunk_no", "chunk"))
 
 
+def _length(text: str) -> Column:
+    return F.coalesce(F.length(text), F.lit(0))
+
+
 def with_prompt(chunks: DataFrame, concept: str) -> DataFrame:
     return chunks.withColumn("prompt", fill_template(PROMPTS[concept], F.col("chunk")))
 
@@ -53,7 +59,9 @@ def prompt_rows(chunks: DataFrame, concepts: Sequence[str]) -> DataFrame:
     return chunks.withColumn("asked", F.explode(F.array(*prompts))).select("*", "asked.*").drop("asked", "chunk")
 
 
-def _answer(labeller: Labeller, prompt: str) -> str:
+def _answer(labeller: Labeller, prompt: str | None) -> str | None:
+    if prompt is None:
+        return None
     try:
         return labeller(prompt)
     except Exception as error:  # noqa: BLE001 - any failure of one call is that chunk's answer
@@ -65,7 +73,7 @@ def ask(prompts: DataFrame, make_labeller: Callable[[], Labeller], key: str) ->
 
     Chunks are first spread by key and position, so the chunks of one very
     long text are answered by many tasks, and a retried task sees its rows
-    again.
+    again. A missing prompt is not asked.
     """
 
     @F.pandas_udf("string")
@@ -75,33 +83,36 @@ def ask(prompts: DataFrame, make_labeller: Callable[[], Labeller], key: str) ->
             yield batch.map(lambda prompt: _answer(labeller, prompt))
 
     spread = prompts.repartition(F.col(key), F.col("chunk_no"))
-    return spread.select(key, "chunk_no", stripped(answer("prompt")).alias("answer"))
+    return spread.withColumn("answer", stripped(answer("prompt"))).drop("prompt", "chunk")
 
 
-def reduce_answers(answers: DataFrame, key: str) -> DataFrame:
-    """Yes if any chunk says so, with the first such answer or else the first one."""
-    row = F.struct("chunk_no", "answer")
-    return answers.groupBy(key).agg(
-        F.min(F.when(says_yes(F.col("answer")), row)).alias("yes"), F.min(row).alias("first")
-    ).select(
-        key,
-        F.when(F.col("yes").isNotNull(), YES).otherwise(NO).alias("detected"),
-        F.coalesce(F.col("yes.answer"), F.col("first.answer")).alias("explanation"),
-    )
+def _completed(found_yes: Column, first_yes: Column, first: Column, null_if_empty: bool) -> list[Column]:
+    """Label and explanation from the chunk answers, or what a text without chunks gets."""
+    detected = F.when(found_yes, YES).otherwise(NO)
+    explanation = F.coalesce(first_yes, first, F.lit(NO_ANSWER))
+    if null_if_empty:
+        present = F.col("text_length") > 0
+        detected = F.when(present, detected)
+        explanation = F.when(present, explanation).otherwise(NO_RADIOLOGY)
+    return [detected.alias("detected"), explanation.alias("explanation")]
 
 
-def completed(df: DataFrame, reduced: DataFrame, key: str, text: str, null_if_empty: bool = False) -> DataFrame:
-    """One row per input row: the reduced answer, or what a text without chunks gets."""
-    size = F.coalesce(F.length(text), F.lit(0))
-    detected = F.coalesce("detected", F.lit(NO))
-    explanation = F.coalesce("explanation", F.lit(NO_ANSWER))
-    if null_if_empty:
-        detected = F.when(F.col("text_length") > 0, detected)
-        explanation = F.when(F.col("text_length") > 0, explanation).otherwise(NO_RADIOLOGY)
-    return (
-        df.select(key, size.alias("text_length"))
-        .join(reduced, key, "left")
-        .select(key, "text_length", detected.alias("detected"), explanation.alias("explanation"))
+def reduce_answers(answers: DataFrame, key: str, null_if_empty: bool = False) -> DataFrame:
+    """Yes if any chunk says so, with the first such answer or else the first one.
+
+    ``answers`` holds ``text_length`` on every row and a null answer for a text
+    without chunks.
+    """
+    row = F.struct("chunk_no", "answer")
+    answered = F.col("answer").isNotNull()
+    reduced = answers.groupBy(key).agg(
+        F.max("text_length").alias("text_length"),
+        F.min(F.when(says_yes(F.col("answer")), row)).alias("yes"),
+        F.min(F.when(answered, row)).alias("first"),
+    )
+    found = F.col("yes").isNotNull()
+    return reduced.select(
+        key, "text_length", *_completed(found, F.col("yes.answer"), F.col("first.answer"), null_if_empty)
     )
 
 
@@ -113,42 +124,86 @@ def label_text(
     make_labeller: Callable[[], Labeller],
     null_if_empty: bool = False,
 ) -> DataFrame:
-    """Label one text column for one concept with a user-supplied labeller."""
-    answers = ask(with_prompt(chunk_rows(df, key, text), concept), make_labeller, key)
-    return completed(df, reduce_answers(answers, key), key, text, null_if_empty)
+    """Label one text column for one concept with a user-supplied labeller.
+
+    ``key`` is unique. A text without chunks stays as one row without a
+    prompt, so the result is complete without a join back.
+    """
+    chunks = df.select(
+        key,
+        _length(text).alias("text_length"),
+        F.posexplode_outer(overlapping_chunks(F.col(text))).alias("chunk_no", "chunk"),
+    )
+    return reduce_answers(ask(with_prompt(chunks, concept), make_labeller, key), key, null_if_empty)
+
+
+def _answers(text: str, keywords: Sequence[str]) -> Column:
+    chunks = overlapping_chunks(F.coalesce(F.col(text), F.lit("")))
+    return F.transform(chunks, lambda chunk: keyword_answer(chunk, keywords))
+
+
+def _settled(answers: str, null_if_empty: bool = False) -> list[Column]:
+    yes = F.filter(answers, says_yes)
+    return _completed(F.size(yes) > 0, F.get(yes, 0), F.get(answers, 0), null_if_empty)
 
 
 def keyword_label_text(
     df: DataFrame, key: str, text: str, keywords: Sequence[str], null_if_empty: bool = False
 ) -> DataFrame:
-    """The same reduction over the built-in keyword labeller."""
-    chunks = chunk_rows(df, key, text)
-    answers = chunks.select(key, "chunk_no", keyword_answer(F.col("chunk"), keywords).alias("answer"))
-    return completed(df, reduce_answers(answers, key), key, text, null_if_empty)
+    """The same labels from the built-in keyword labeller, row by row in the scan stage."""
+    answered = df.select(key, _length(text).alias("text_length"), _answers(text, keywords).alias("answers"))
+    return answered.select(key, "text_length", *_settled("answers", null_if_empty))
+
+
+def keyword_cascade(df: DataFrame, key: str, texts: Sequence[str], keywords: Sequence[str]) -> DataFrame:
+    """The first text's label where it is yes, else the second's, without a join."""
+    first, second = texts
+    answered = df.select(
+        key,
+        F.greatest(_length(first), _length(second)).alias("text_length"),
+        _answers(first, keywords).alias("first"),
+        _answers(second, keywords).alias("second"),
+    )
+    one, two = _settled("first"), _settled("second")
+    settled = one[0] == YES
+    return answered.select(
+        key,
+        "text_length",
+        F.when(settled, one[0]).otherwise(two[0]).alias("detected"),
+        F.when(settled, one[1]).otherwise(two[1]).alias("explanation"),
+    )
 
 
 def keyword_detections(
-    df: DataFrame, key: str, sources: Mapping[str, str], keywords: Mapping[str, Sequence[str]]
+    df: DataFrame,
+    key: str,
+    keywords: Mapping[str, Sequence[str]],
+    sources: Mapping[str, Sequence[str]] = TEXT_SOURCES,
+    null_if_empty: Sequence[str] = NULL_IF_EMPTY,
 ) -> DataFrame:
-    """Many concepts at once, one boolean column each, in one pass per text column.
+    """One boolean per concept: does any chunk of any of its texts hold a keyword?
 
-    Every chunk is tested for all concepts of its text column, and a key's
-    chunks combine before the shuffle, which carries flags and never text.
+    Every text is cut once and tested for all its concepts in the scan stage.
+    The concepts of ``null_if_empty`` are unknown where there is no text.
     """
-    flags = []
-    for text in dict.fromkeys(sources.values()):
-        concepts = [c for c, source in sources.items() if source == text]
-        tests = [
-            F.max(
-                reduce(Column.__or__, (F.contains(F.col("chunk"), F.lit(w)) for w in keywords[c]))
-            ).alias(c)
-            for c in concepts
-        ]
-        flags.append(chunk_rows(df, key, text).groupBy(key).agg(*tests))
-    result = df.select(key)
-    for part in flags:
-        result = result.join(part, key, "left")
-    return result.select(key, *(F.coalesce(c, F.lit(False)).alias(c) for c in sources))
+    texts = dict.fromkeys(text for own in sources.values() for text in own)
+    cut = df.select(
+        key, *(overlapping_chunks(F.coalesce(F.col(x), F.lit(""))).alias(f"chunks_{x}") for x in texts)
+    )
+
+    def found(text: str, words: Sequence[str]) -> Column:
+        def holds(chunk: Column) -> Column:
+            return reduce(Column.__or__, (F.contains(chunk, F.lit(w)) for w in words))
+
+        return F.exists(f"chunks_{text}", holds)
+
+    flags = {}
+    for concept, own in sources.items():
+        flag = reduce(Column.__or__, (found(text, keywords[concept]) for text in own))
+        if concept in null_if_empty:
+            flag = F.when(F.size(f"chunks_{own[0]}") > 0, flag)
+        flags[concept] = flag
+    return cut.select(key, *(flag.alias(concept) for concept, flag in flags.items()))
 
 
 def cascaded(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

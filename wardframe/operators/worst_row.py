@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardframe.fixed_values import FIRST_DAY_HOURS
+from wardframe.operators.keys import restricted
 
 RATIO = "pao2fio2ratio"
 
@@ -94,11 +95,18 @@ def _worst(organ: Organ, first_day: bool) -> Column:
     return F.max(F.when(F.col("hr") < FIRST_DAY_HOURS, row) if first_day else row)
 
 
-def stay_summary(sofa: DataFrame, worst: bool = True, first_day: bool = True, averages: bool = True) -> DataFrame:
+def stay_summary(
+    sofa: DataFrame,
+    worst: bool = True,
+    first_day: bool = True,
+    averages: bool = True,
+    cohort: DataFrame | None = None,
+) -> DataFrame:
     """Worst rows, worst rows of the first day and averages in one aggregate.
 
     One exchange with a map-side combine; the alternative is a window per
-    organ and a join per metric.
+    organ and a join per metric. A cohort restricts the stays right above the
+    aggregate, where the optimizer can still move the semi-join below it.
     """
     picks = [(o, d) for d, wanted in ((False, worst), (True, first_day)) if wanted for o in ORGANS]
     aggregates = [_worst(o, d).alias(f"{o.score}_{int(d)}") for o, d in picks]
@@ -112,7 +120,10 @@ def stay_summary(sofa: DataFrame, worst: bool = True, first_day: bool = True, av
         columns += [column[source].alias(name) for source, name in companions.items()]
     if averages:
         columns += [F.col(name) for name in AVERAGES.values()]
-    return with_ratio(sofa).groupBy("stay_id").agg(*aggregates).select(*columns)
+    summary = with_ratio(sofa).groupBy("stay_id").agg(*aggregates)
+    if cohort is not None:
+        summary = restricted(summary, cohort, "stay_id")
+    return summary.select(*columns)
 
 
 def worst_row_by_window(sofa: DataFrame, organ: Organ, first_day: bool = False) -> DataFrame:

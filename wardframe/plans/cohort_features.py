@@ -24,11 +24,12 @@ class ClinicalTables:
 
 
 def comorbidities(cohort: DataFrame, diagnoses: DataFrame) -> DataFrame:
-    """Six group flags and two severity bands per admission of the cohort.
+    """Six group flags and two severity bands per admission of the cohort."""
+    return with_bands(cohort, restricted(group_flags(split_codes(diagnoses)), cohort, "hadm_id"))
 
-    An admission without any diagnosis keeps null flags and gets bands of 0.
-    """
-    flags = restricted(group_flags(split_codes(diagnoses)), cohort, "hadm_id")
+
+def with_bands(cohort: DataFrame, flags: DataFrame) -> DataFrame:
+    """An admission without any diagnosis keeps null flags and gets bands of 0."""
     return cohort.join(flags, "hadm_id", "left").select(
         *cohort.columns, *RESPIRATORY_CODE_GROUPS, *severity_bands()
     )
@@ -55,7 +56,7 @@ def vasopressor_doses(cohort: DataFrame, vasopressor: DataFrame) -> DataFrame:
 
 def score_metrics(cohort: DataFrame, sofa: DataFrame) -> DataFrame:
     """All hourly-score metrics of the stays in the cohort."""
-    return restricted(stay_summary(sofa), cohort, "stay_id")
+    return stay_summary(sofa, cohort=cohort)
 
 
 def score_columns() -> list[str]:
@@ -74,11 +75,13 @@ def cohort_features(tables: ClinicalTables, label: str | None = LABEL, ordered:
     """
     ids = ["hadm_id", "stay_id", "subject_id", *([label] if label else [])]
     cohort = unique_rows(tables.cohort.select(*ids), "hadm_id")
-    wide = comorbidities(cohort, tables.diagnoses)
+    # the branches are restricted by the plain cohort: a semi-join needs no unique keys
+    flags = restricted(group_flags(split_codes(tables.diagnoses)), tables.cohort, "hadm_id")
+    wide = with_bands(cohort, flags)
     for branch in (
-        restricted(invasive_minutes(tables.ventilation), cohort, "stay_id"),
-        score_metrics(cohort, tables.sofa),
-        restricted(dose_summary(tables.vasopressor), cohort, "stay_id"),
+        restricted(invasive_minutes(tables.ventilation), tables.cohort, "stay_id"),
+        score_metrics(tables.cohort, tables.sofa),
+        restricted(dose_summary(tables.vasopressor), tables.cohort, "stay_id"),
     ):
         wide = wide.join(branch, "stay_id", "left")
     result = wide.select(

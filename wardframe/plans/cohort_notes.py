@@ -24,12 +24,12 @@ def cohort_notes(
     no note is multiplied by the notes of another kind. An admission with two
     discharge notes has two rows, one without any note has one row of nulls.
     """
-    cohort = unique_rows(cohort.select("hadm_id", "subject_id"), "hadm_id")
+    admissions = unique_rows(cohort.select("hadm_id", "subject_id"), "hadm_id")
     discharge_notes = discharge.select(
         "hadm_id", F.col("note_id").alias("discharge_note_id"), F.col("text").alias("discharge_text")
     )
     notes = (
-        cohort.join(restricted(radiology_by_admission(radiology), cohort, "hadm_id"), "hadm_id", "left")
+        admissions.join(restricted(radiology_by_admission(radiology), cohort, "hadm_id"), "hadm_id", "left")
         .join(discharge_notes, "hadm_id", "left")
         .join(restricted(ecg_by_patient(ecg), cohort, "subject_id"), "subject_id", "left")
         .select(
