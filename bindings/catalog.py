@@ -26,7 +26,7 @@ from wardframe.functions.measures import class_above, class_at_least
 from wardframe.operators import fitting, labelling, metrics, prepare
 from wardframe.operators import interventions as what_if
 from wardframe.operators.classify import group_flags, split_codes
-from wardframe.operators.correlation import correlation_long
+from wardframe.operators.correlation import correlation_long as correlations
 from wardframe.operators.keys import first_per_key, first_rows
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.operators.notes import ecg_by_patient, radiology_by_admission, report_texts
@@ -341,9 +341,9 @@ def describe(spark, sf_dir):
 
 
 @query
-def correlation(spark, sf_dir):
+def correlation_long(spark, sf_dir):
     ready, _ = prepare.prepared(_frame(spark, sf_dir))
-    long = correlation_long(ready.where(F.col(prepare.SPLIT) == "test"), ALL_CONCEPTS)
+    long = correlations(ready.where(F.col(prepare.SPLIT) == "test"), ALL_CONCEPTS)
     return long.select("concept_a", "concept_b", F.round("r", 6).alias("r"))
 
 

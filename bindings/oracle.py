@@ -517,7 +517,7 @@ def _r(a: str, b: str) -> str:
     return f"r_{i}_{j}"
 
 
-ORACLE_SQL["correlation"] = _with(*READY, TEST, f"rr AS ({_correlations('test')})") + " UNION ALL ".join(
+ORACLE_SQL["correlation_long"] = _with(*READY, TEST, f"rr AS ({_correlations('test')})") + " UNION ALL ".join(
     f"SELECT '{a}' AS concept_a, '{b}' AS concept_b, round({_r(a, b)}, 6) AS r FROM rr"
     for a in ALL_CONCEPTS
     for b in ALL_CONCEPTS

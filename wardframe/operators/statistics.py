@@ -13,12 +13,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardframe.session import compiled_methods
+
 # The rank error of the sketch is at most rows / ACCURACY. The margin doubles
 # that, which also covers the neighbouring rank from SMALL rows on; below, all
 # values are few enough to look at.
 ACCURACY = 1_000
 SMALL = 4 * ACCURACY
 _MARGIN = 2.0 / ACCURACY
+STEPS = 1_000
 
 
 @dataclass(frozen=True)
@@ -72,7 +75,8 @@ def column_stats(
     ]
     if shares:
         aggregates.append(F.percentile_approx(value, shares, ACCURACY).alias("marks"))
-    rows = _long(df, columns).groupBy("slot").agg(*aggregates).collect()  # one row per column
+    with compiled_methods(df.sparkSession):
+        rows = _long(df, columns).groupBy("slot").agg(*aggregates).collect()  # one row per column
     found = {columns[row["slot"]]: row for row in rows}
     wanted = {}
     for name, row in found.items():
@@ -112,20 +116,37 @@ def _at_ranks(
         .groupBy("slot", F.when(F.col("v") >= lower, F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy("slot").orderBy(F.col("v").asc_nulls_first())
-    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    running = counted.withColumn("upto", upto).where(F.col("v").isNotNull())
+    # running counts over a fixed number of equal steps, then inside the step
+    # that holds the rank, so no task orders more than a sliver of the values
+    share = F.coalesce(F.try_divide(F.col("v") - lower, upper - lower), F.lit(0.0))
+    step = F.when(F.col("v").isNull(), -1).otherwise(F.floor(share * (STEPS - 1)))
+    stepped = counted.withColumn("step", step)
+    earlier = Window.partitionBy("slot").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    steps = (
+        stepped.groupBy("slot", "step")
+        .agg(F.sum("n").alias("held"))
+        .withColumn("before", F.coalesce(F.sum("held").over(earlier), F.lit(0)))
+        .where((F.col("before") <= F.ceil(rank)) & (F.col("before") + F.col("held") > F.floor(rank)))
+        .select("slot", "step", "before")
+    )
+    within = Window.partitionBy("slot", "step").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("before") + F.sum("n").over(within)
+    running = stepped.where("step >= 0").join(steps, ["slot", "step"]).withColumn("upto", upto)
     picked = running.groupBy("slot").agg(
         F.min(F.when(F.col("upto") > F.floor(rank), F.col("v"))).alias("below"),
         F.min(F.when(F.col("upto") > F.ceil(rank), F.col("v"))).alias("above"),
     )
     result = {}
-    for row in picked.collect():  # one row per column and quantile
+    with compiled_methods(df.sparkSession):
+        rows = picked.collect()  # one row per column and quantile
+    for row in rows:
+        place = wanted[slots[row["slot"]]][2]
         if row["below"] is None or row["above"] is None:
             raise RuntimeError("a quantile fell outside its sketch interval")
-        place = wanted[slots[row["slot"]]][2]
         part = place - math.floor(place)
         result[slots[row["slot"]]] = row["below"] + (row["above"] - row["below"]) * part
+    if len(result) != len(slots):
+        raise RuntimeError("a quantile fell outside its sketch interval")
     return result
 
 

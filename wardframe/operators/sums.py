@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardframe.session import compiled_methods
+
 Compute = Callable[[np.ndarray], np.ndarray]
 
 
@@ -38,7 +40,9 @@ def _added(vectors: DataFrame, size: int) -> np.ndarray:
         .agg(F.sum("value").alias("value"))
     )
     result = np.zeros(size)
-    for row in cells.collect():
+    with compiled_methods(vectors.sparkSession):
+        rows = cells.collect()
+    for row in rows:
         result[row["cell"]] = row["value"]
     return result
 

@@ -13,7 +13,7 @@ from wardframe.operators.correlation import correlation_matrix
 from wardframe.operators.interventions import MEAN, MEDIAN, Setting
 from wardframe.operators.metrics import outcome
 from wardframe.operators.prepare import SPLIT, prepared
-from wardframe.operators.scoring import ALL_CONCEPTS, ConceptModel, score_label, score_concepts
+from wardframe.operators.scoring import ALL_CONCEPTS, ConceptModel, score_model
 from wardframe.operators.statistics import ColumnStats, column_stats
 from wardframe.session import materialize
 
@@ -21,15 +21,9 @@ BASE, CONTEXT = "base_", "context_"
 
 
 def score_both(rows: DataFrame, base: ConceptModel, context: ConceptModel) -> DataFrame:
-    """Predicted concepts, probabilities and outcomes of both models.
-
-    The concept predictions are written before anything reads them: every
-    probability, outcome and later filter refers to them many times over, and
-    the optimizer would copy the full model into each of those places.
-    """
-    concepts = materialize(score_concepts(score_concepts(rows, base, BASE), context, CONTEXT), "concepts")
-    scored = score_label(concepts, base.label, "base_prob", BASE)
-    scored = score_label(scored, context.label, "context_prob", CONTEXT)
+    """Predicted concepts, probabilities and outcomes of both models."""
+    scored = score_model(rows, base, BASE, "base_prob")
+    scored = score_model(scored, context, CONTEXT, "context_prob")
     return scored.withColumns(
         {
             "base_outcome": outcome(F.col(LABEL), F.col("base_prob")),
@@ -56,7 +50,12 @@ class ConceptStudy:
     def build(
         cls, frame: DataFrame, base: ConceptModel, context: ConceptModel, split: str = "test"
     ) -> ConceptStudy:
-        """Prepare a modelling frame and score one split with both models."""
+        """Prepare a modelling frame and score one split with both models.
+
+        The scores are written before anything asks about them: a filter on an
+        outcome would otherwise be pushed below the scoring with a copy of the
+        whole model for every mention of a probability.
+        """
         ready, stats = prepared(frame)
         rows = ready.where(F.col(SPLIT) == split)
         scored = materialize(score_both(rows, base, context), "scored")

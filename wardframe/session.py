@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The JVM never compiles a method above this size, and the generated code of a
+# model with dozens of columns exceeds it; Spark then splits it into smaller ones.
+_METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 # Timestamps are zone-free in the sources, so UTC keeps minute arithmetic plain.
 SETTINGS = {
+    _METHOD_LIMIT[0]: _METHOD_LIMIT[1],
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -27,6 +34,21 @@ def get_session(app: str = "wardframe", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def compiled_methods(spark: SparkSession) -> Iterator[None]:
+    """Run wide expressions in methods the JVM compiles, in any session."""
+    name, limit = _METHOD_LIMIT
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, limit)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, as the session names it.
 
@@ -51,5 +73,6 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with compiled_methods(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
