@@ -46,7 +46,7 @@ from wardframe.plans import cohort_features as features
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
 from wardframe.plans.concept_study import BASE, CONTEXT, ConceptStudy
 from wardframe.session import shared_folder
-from wardframe.sources.readers import read_modelling_csv, read_notes_csv
+from wardframe.sources.readers import read_modelling_csv, read_notes_csv, read_parquet
 from wardframe.sources.sinks import append_labels, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,7 +362,7 @@ def label_sink(spark, sf_dir):
     covered = t.table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY))
     append_labels(every.join(covered, KEY, "left_semi"), path)
     append_labels(every, path)
-    return spark.read.schema(every.schema).parquet(path)
+    return read_parquet(spark, path, every.schema)
 
 
 @query

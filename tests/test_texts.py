@@ -16,7 +16,7 @@ from wardframe.operators import labelling
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
 from wardframe.shipping import ship_by_value
-from wardframe.sources.readers import read_notes_csv
+from wardframe.sources.readers import read_notes_csv, read_parquet
 from wardframe.sources.sinks import append_labels, existing_labels, write_csv
 
 ship_by_value(sys.modules[__name__])
@@ -237,3 +237,18 @@ def test_keyword_cascade_and_detections(spark):
     assert [flags[i]["cardiac_failure_detected"] for i in (1, 2, 3, 4)] == [True, True, False, False]
     assert [flags[i]["bilateral_infiltrates_detected"] for i in (1, 2, 3, 4)] == [None, True, None, False]
     assert flags[3]["pneumonia_detected"] is False
+
+
+def test_typed_parquet_source_prunes(spark, tmp_path):
+    path = str(tmp_path / "diagnoses")
+    spark.createDataFrame([(1, "4660", 9, "x")], "hadm_id long, icd_code string, icd_version int, other string").write.parquet(path)
+    table = read_parquet(spark, path, schemas.DIAGNOSES)
+    assert table.schema == schemas.DIAGNOSES and tuple(table.first()) == (1, "4660", 9)
+    assert "other" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_label_sink_keeps_awkward_text(spark, tmp_path):
+    rows = spark.createDataFrame([(1, ' "quoted",\nnext line '), (2, "plain")], "hadm_id long, explanation string")
+    append_labels(rows, str(tmp_path / "csv"), fmt="csv")
+    append_labels(rows, str(tmp_path / "csv"), fmt="csv")
+    assert sorted(existing_labels(spark, str(tmp_path / "csv"), rows, "csv").collect()) == sorted(rows.collect())

@@ -82,8 +82,8 @@ def ask(prompts: DataFrame, make_labeller: Callable[[], Labeller], key: str) ->
         for batch in batches:
             yield batch.map(lambda prompt: _answer(labeller, prompt))
 
-    spread = prompts.repartition(F.col(key), F.col("chunk_no"))
-    return spread.withColumn("answer", stripped(answer("prompt"))).drop("prompt", "chunk")
+    spread = prompts.drop("chunk").repartition(F.col(key), F.col("chunk_no"))
+    return spread.withColumn("answer", stripped(answer("prompt"))).drop("prompt")
 
 
 def _completed(found_yes: Column, first_yes: Column, first: Column, null_if_empty: bool) -> list[Column]:

@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from wardframe.fixed_values import KEY
+from wardframe.sources.readers import read_csv, read_parquet
+
+_CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV that ``read_csv`` restores: quotes, line breaks and outer blanks included."""
-    df.write.csv(
-        path,
-        header=True,
-        quote='"',
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    )
+    df.write.csv(path, **_CSV)
 
 
 def existing_labels(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parquet") -> DataFrame | None:
     """The label table written so far, or None before the first write."""
     try:
-        reader = spark.read.schema(like.schema)
-        return reader.csv(path, header=True) if fmt == "csv" else reader.parquet(path)
-    except AnalysisException:
+        return read_csv(spark, path, like.schema) if fmt == "csv" else read_parquet(spark, path, like.schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -39,6 +42,6 @@ def append_labels(labels: DataFrame, path: str, key: str = KEY, fmt: str = "parq
     fresh = labels if written is None else labels.join(written.select(key), key, "left_anti")
     writer = fresh.write.mode("append")
     if fmt == "csv":
-        writer.csv(path, header=True, quote='"', escape='"')
+        writer.csv(path, **_CSV)
     else:
         writer.parquet(path)
