@@ -119,7 +119,8 @@ def _at_ranks(
     # running counts over a fixed number of equal steps, then inside the step
     # that holds the rank, so no task orders more than a sliver of the values
     share = F.coalesce(F.try_divide(F.col("v") - lower, upper - lower), F.lit(0.0))
-    step = F.when(F.col("v").isNull(), -1).otherwise(F.floor(share * (STEPS - 1)))
+    # never null, so that both uses below share one exchange of the counts
+    step = F.when(F.col("v").isNull(), -1).otherwise(F.coalesce(F.floor(share * (STEPS - 1)), F.lit(-1)))
     stepped = counted.withColumn("step", step)
     earlier = Window.partitionBy("slot").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
     steps = (
@@ -131,7 +132,7 @@ def _at_ranks(
     )
     within = Window.partitionBy("slot", "step").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("n").over(within)
-    running = stepped.where("step >= 0").join(steps, ["slot", "step"]).withColumn("upto", upto)
+    running = stepped.join(steps, ["slot", "step"]).withColumn("upto", upto)
     picked = running.groupBy("slot").agg(
         F.min(F.when(F.col("upto") > F.floor(rank), F.col("v"))).alias("below"),
         F.min(F.when(F.col("upto") > F.ceil(rank), F.col("v"))).alias("above"),
