@@ -156,9 +156,9 @@ class Codec:
         while True:
             self._connection.register("start", rows)
             depth = max(1, QUERY_ROWS // rows.num_rows)
-            found = self._connection.execute(_CONTRACT_LONG, {"depth": min(depth, 64)}).fetch_arrow_table()
-            rows = found.select(["piece", "pos", "token"]).sort_by("pos")
-            if found.column("done")[0].as_py():
+            found = self._connection.execute(_CONTRACT_LONG, {"depth": min(depth, 64)}).fetchnumpy()
+            rows = pa.table({n: found[n] for n in ("piece", "pos", "token")}).sort_by("pos")
+            if found["done"][0]:
                 return " ".join(map(str, rows.column("token").to_pylist()))
 
     def _learn(self, pieces: Iterable[str]) -> None:
