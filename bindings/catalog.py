@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from bindings import tables as t
 from wardframe.fixed_values import (
-    BATCH_ROWS,
     C_BINARY,
     C_CONTINUOUS,
     C_TEXT,
     KEY,
     LABEL,
+    PROMPTS,
     TEXT_SOURCES,
     X_BINARY,
     X_CONTINUOUS,
@@ -28,6 +28,8 @@ from wardframe.operators import interventions as what_if
 from wardframe.operators.classify import group_flags, split_codes
 from wardframe.operators.correlation import correlation_long as correlations
 from wardframe.operators.keys import first_per_key, first_rows
+from wardframe.operators.label_many import label_many
+from wardframe.operators.label_many import label_new as append_new_labels
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.operators.notes import ecg_by_patient, radiology_by_admission, report_texts
 from wardframe.operators.scoring import (
@@ -264,6 +266,54 @@ def label_callable(spark, sf_dir):
     return labelling.label_text(_texts(spark, sf_dir), KEY, "discharge_text", concept, _keyword_labeller(concept))
 
 
+def _many_labeller():
+    """The keyword labeller of every concept, on lists of prompts; a prompt tells its concept."""
+    queries = {p.split("{text}")[1]: (c, p.split("{text}")) for c, p in PROMPTS.items()}
+    words = t.KEYWORDS
+
+    def label(prompts):
+        answers = []
+        for prompt in prompts:
+            tail = next(q for q in queries if prompt.endswith(q))
+            concept, (before, after) = queries[tail]
+            text = prompt[len(before) : len(prompt) - len(after)]
+            found = next((w for w in words[concept] if w in text), None)
+            answers.append(f"{YES}: {found}" if found else "No")
+        return answers
+
+    return label
+
+
+MANY = ("ards_detected", "trali_detected", "bilateral_infiltrates_detected")
+
+
+@query
+def label_callable_all(spark, sf_dir):
+    """Several concepts of one text in one pass, by a labeller that takes lists of prompts."""
+    texts = _texts(spark, sf_dir)
+    return label_many(texts, KEY, "discharge_text", _many_labeller, MANY[:2]).drop("failed")
+
+
+@query
+def label_new(spark, sf_dir):
+    """Two runs into one table: some admissions and one concept, then everything not known yet."""
+    path = _fresh_path(spark, "labels-new")
+    texts = _texts(spark, sf_dir)
+    covered = t.table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY))
+    append_new_labels(texts.join(covered, KEY, "left_semi"), KEY, MANY[:1], _many_labeller, path)
+    append_new_labels(texts, KEY, MANY, _many_labeller, path, parts=2)
+    return read_parquet(spark, path).select(KEY, "concept", "text_length", "detected", "explanation")
+
+
+@query
+def label_cascade_callable(spark, sf_dir):
+    """The second text is put to the labeller only where the first said no."""
+    concept = "cardiac_failure_detected"
+    return labelling.label_cascade(
+        _texts(spark, sf_dir), KEY, TEXT_SOURCES[concept], concept, _keyword_labeller(concept)
+    )
+
+
 @query
 def label_cascade(spark, sf_dir):
     words = t.KEYWORDS["cardiac_failure_detected"]
@@ -296,8 +346,9 @@ def label_incremental(spark, sf_dir):
 
 @query
 def label_batch(spark, sf_dir):
-    """The labeller's bounded batch: the first admissions by key."""
-    return first_rows(_texts(spark, sf_dir).select(KEY, F.length("discharge_text").alias("text_length")), [KEY], BATCH_ROWS)
+    """A bounded batch for the labeller: so many admissions by key, from a start on."""
+    lengths = _texts(spark, sf_dir).select(KEY, F.length("discharge_text").alias("text_length"))
+    return first_rows(lengths, [KEY], rows=100, start=50)
 
 
 # --- modelling frame -------------------------------------------------------------------
@@ -365,6 +416,17 @@ def label_sink(spark, sf_dir):
     return read_parquet(spark, path, every.schema)
 
 
+@query
+def label_sink_concepts(spark, sf_dir):
+    """Labels of two concepts, with doubled rows, appended to one table one after the other."""
+    path = _fresh_path(spark, "labels-long")
+    for concept in MANY[:2]:
+        labels = _keyword_labels(spark, sf_dir, concept, "discharge_text").withColumn("concept", F.lit(concept))
+        append_labels(labels.unionByName(labels), path)
+        append_labels(labels, path)
+    return read_parquet(spark, path)
+
+
 @query
 def notes_csv_source(spark, sf_dir):
     """Consolidated notes written and read as CSV, with line breaks and quotes inside."""
@@ -623,4 +685,10 @@ def fit_c_to_y_true(spark, sf_dir):
 
 @query
 def fit_c_to_y_pred(spark, sf_dir):
-    return _label_fits(spark, sf_dir, fitting.fit_sequential(_prepared(spark, sf_dir)))
+    """Concepts as the joint fits predict them: without text concepts, and with them."""
+    frame = _prepared(spark, sf_dir)
+    parts = [
+        _weights(spark, name, fitting.fit_label_from_concepts(frame, fitting.fit_joint(frame, with_text=text).model, text))
+        for name, text in (("plain", False), ("with_text", True))
+    ]
+    return reduce(DataFrame.unionByName, parts)

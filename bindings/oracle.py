@@ -6,10 +6,10 @@ aggregates, substrings instead of patterns, full model sums instead of shifts.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from bindings import tables as t
-from bindings.catalog import FAMILIES, family_kinds
 from wardframe.fixed_values import (
-    BATCH_ROWS,
     C_BINARY,
     C_CONTINUOUS,
     C_TEXT,
@@ -419,7 +419,22 @@ ORACLE_SQL["label_incremental"] = (
     + f"SELECT {KEY}, text_length, detected FROM labels_t"
 )
 ORACLE_SQL["label_batch"] = f"""
-SELECT doc_id AS {KEY}, CAST(length(text) AS INTEGER) AS text_length FROM documents ORDER BY doc_id LIMIT {BATCH_ROWS}"""
+SELECT doc_id AS {KEY}, CAST(length(text) AS INTEGER) AS text_length FROM documents ORDER BY doc_id LIMIT 100 OFFSET 50"""
+
+ORACLE_SQL["label_cascade_callable"] = ORACLE_SQL["label_cascade"]
+_LONG = "SELECT {key}, '{concept}' AS concept, text_length, detected, explanation FROM labels_{tag}"
+
+
+def _long_labels(*asked: tuple[str, str, bool]) -> str:
+    parts = [_label_parts(c, text, f"_{i}", null) for i, (c, text, null) in enumerate(asked)]
+    return _with(NOTES, *(p for own in parts for p in own)) + " UNION ALL ".join(
+        _LONG.format(key=KEY, concept=c, tag=i) for i, (c, _, _) in enumerate(asked)
+    )
+
+
+_TWO = (("ards_detected", "discharge_text", False), ("trali_detected", "discharge_text", False))
+ORACLE_SQL["label_callable_all"] = ORACLE_SQL["label_sink_concepts"] = _long_labels(*_TWO)
+ORACLE_SQL["label_new"] = _long_labels(*_TWO, ("bilateral_infiltrates_detected", "radiology_texts", True))
 
 ORACLE_SQL["label_sink"] = (
     _with(NOTES, *_label_parts("trali_detected", "discharge_text", "_t")) + "SELECT * FROM labels_t"
@@ -714,15 +729,76 @@ REPLACEMENTS = "rv AS (SELECT " + ", ".join(
     f"avg({c}) AS mean_{c}, CAST(median({c}) AS DOUBLE) AS median_{c}" for c in ALL_CONCEPTS
 ) + " FROM test)"
 
-for _family, (_make, _enhanced, _start, _correlated) in FAMILIES.items():
-    for _kind in family_kinds(_family):
+# fixed values: the interventions, stated here apart from the operators so that each guards the other.
+# Concepts by number: continuous 0-11, binary 12-13, text 20-27; false negatives first, then false positives.
+_SPECS = {
+    "intervene_base_binary": ((12, 13), {
+        "truth": ((12, 13), (12, 13)), "mean": ((12, 13), (12, 13)), "median": ((12, 13), (12, 13))}),
+    "intervene_base_cont": (range(12), {
+        "truth": ((2, 3, 5, 10), (1, 2, 11)), "mean": ((3, 5, 6, 10), (8, 11)), "median": ((3, 5, 6, 10), (1, 2, 11))}),
+    "intervene_ctx_binary": ((12, 13), {
+        "truth": ((12, 13), (12, 13)), "mean": ((12, 13), (12, 13)), "median": ((12, 13), (12, 13))}),
+    "intervene_ctx_cont": (range(12), {
+        "truth": ((7,), (5, 6, 9)), "mean": ((3, 6), (2, 4, 5, 8)), "median": ((3, 6), (2, 4, 5, 8))}),
+    "intervene_text": (range(20, 28), {
+        "const": ((20, 21, 25), (20, 22, 26)), "mean": ((20, 26), (20, 21, 26)), "median": ((20, 26), (21, 24))}),
+    "intervene_all": ((), {
+        "truth": ((12, 7, 20, 21, 25), (12, 5, 6, 9, 20, 22, 26)),
+        "mean": ((12, 7, 20, 26), (12, 5, 6, 9, 20, 21, 26)),
+        "median": ((12, 7, 20, 26), (12, 5, 6, 9, 21, 24))}),
+    "propagate_concept": (range(14), {}),
+    "propagate_text": (range(20, 28), {}),
+    "propagate_multi": ((), {k: ((1, 12, 25), (12, 13, 26)) for k in ("truth", "mean", "median")}),
+    "propagate_base": (range(12), {}),
+}
+_SET_NAMES = {"intervene_all": "all kinds", "propagate_multi": "several leads"}
+_BASE_FAMILIES = ("intervene_base_binary", "intervene_base_cont", "propagate_base")  # judged by the base model
+_STRICT = ("intervene_base_binary", "intervene_base_cont")  # a false positive must fall below one half
+_EVERYTHING_FOLLOWS = ("propagate_concept", "propagate_text", "propagate_multi")
+
+
+@dataclass(frozen=True)
+class _Item:
+    name: str
+    outcome: str
+    concepts: tuple[str, ...]
+    follow: tuple[str, ...]
+    sign: int
+    inclusive: bool
+
+
+def _named(number: int) -> str:
+    return C_TEXT[number - 20] if number >= 20 else (*C_CONTINUOUS, *C_BINARY)[number]
+
+
+def _items(family: str, kind: str) -> list[_Item]:
+    singles, sets = _SPECS[family]
+    follow = ALL_CONCEPTS if family in _EVERYTHING_FOLLOWS else C_CONTINUOUS if family == "propagate_base" else ()
+    items = []
+    for i, outcome in enumerate(("FN", "FP")):
+        sign = -1 if family == "propagate_concept" and outcome == "FP" else 1
+        asked = [(_named(n), (n,)) for n in singles]
+        if kind in sets:
+            asked.append((_SET_NAMES.get(family, "chosen set"), sets[kind][i]))
+        items += [
+            _Item(name, outcome, tuple(map(_named, numbers)), tuple(follow), sign, family not in _STRICT)
+            for name, numbers in asked
+        ]
+    return items
+
+
+for _family in _SPECS:
+    _correlated = _family.startswith("propagate_")
+    _enhanced = _family not in _BASE_FAMILIES
+    _start = "context_" if _enhanced and not _correlated else "base_"
+    for _kind in ("const" if _family.endswith("_text") else "truth", "mean", "median"):
         _sources = ["scored", *(["rv"] if _kind in ("mean", "median") else []), *(["rr"] if _correlated else [])]
         ORACLE_SQL[f"{_family}_{_kind}"] = _with(
             *SCORED,
             *([REPLACEMENTS] if "rv" in _sources else []),
             *([f"rr AS ({_correlations('test')})"] if _correlated else []),
             f"errors AS MATERIALIZED (SELECT * FROM {', '.join(_sources)})",
-        ) + " UNION ALL ".join(_counted(i, _kind, _enhanced, _start) for i in _make(_kind))
+        ) + " UNION ALL ".join(_counted(i, _kind, _enhanced, _start) for i in _items(_family, _kind))
 
 ORACLE_SQL["flip_listing"] = _with(
     *SCORED,

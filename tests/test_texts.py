@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from pathlib import Path
+
 import sys
 
 import pytest
@@ -17,6 +20,8 @@ from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
 from wardframe.shipping import ship_by_value
 from wardframe.sources.readers import read_notes_csv, read_parquet
+from wardframe.operators.keys import first_rows
+from wardframe.operators.label_many import label_many, label_new
 from wardframe.sources.sinks import append_labels, existing_labels, write_csv
 
 ship_by_value(sys.modules[__name__])
@@ -252,3 +257,85 @@ def test_label_sink_keeps_awkward_text(spark, tmp_path):
     append_labels(rows, str(tmp_path / "csv"), fmt="csv")
     append_labels(rows, str(tmp_path / "csv"), fmt="csv")
     assert sorted(existing_labels(spark, str(tmp_path / "csv"), rows, "csv").collect()) == sorted(rows.collect())
+
+
+def test_label_sink_keeps_concepts_apart(spark, tmp_path):
+    path = str(tmp_path / "long")
+    schema = "hadm_id long, concept string, detected string"
+    for concept in ("a", "b"):
+        rows = spark.createDataFrame([(1, concept, "Yes"), (2, concept, "No"), (2, concept, "No")], schema)
+        append_labels(rows, path)
+        append_labels(rows, path)
+    assert sorted(r[:2] for r in existing_labels(spark, path, rows).collect()) == [(1, "a"), (1, "b"), (2, "a"), (2, "b")]
+
+
+def _counting(folder, fail=None):
+    """A batched labeller that leaves a line per prompt, and fails on prompts that hold ``fail``."""
+
+    def make():
+        def label(prompts):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                out.write("x" * len(prompts))
+            return [ValueError("down") if fail and fail in p else "Yes" if "bad" in p else "No" for p in prompts]
+
+        return label
+
+    return make
+
+
+def _calls(folder):
+    return sum(f.stat().st_size for f in Path(folder).iterdir())
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_only_new_texts_and_concepts_are_asked(spark, tmp_path, broadcast):
+    asked, path = tmp_path / "asked", str(tmp_path / "labels")
+    asked.mkdir()
+    df = spark.createDataFrame(
+        [(1, "bad", "", ""), (2, "fine", "bad", ""), (3, None, None, None)],
+        "k long, discharge_text string, radiology_texts string, ecd_combined_reports string",
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        concepts = ["ards_detected", "bilateral_infiltrates_detected"]
+        label_new(df.where("k < 2"), "k", concepts[:1], _counting(asked), path)
+        assert _calls(asked) == 1
+        label_new(df, "k", concepts, _counting(asked), path, parts=2)
+        assert _calls(asked) == 3  # text 2 for one concept, radiology 2 for the other
+        label_new(df, "k", concepts, _counting(asked), path)
+        assert _calls(asked) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = {(r["k"], r["concept"]): (r["detected"], r["explanation"]) for r in read_parquet(spark, path).collect()}
+    assert found == {
+        (1, "ards_detected"): ("Yes", "Yes"),
+        (2, "ards_detected"): ("No", "No"),
+        (3, "ards_detected"): ("No", "No sufficient data"),
+        (1, "bilateral_infiltrates_detected"): (None, "No radiology text available"),
+        (2, "bilateral_infiltrates_detected"): ("Yes", "Yes"),
+        (3, "bilateral_infiltrates_detected"): (None, "No radiology text available"),
+    }
+
+
+def test_failed_calls_are_asked_again(spark, tmp_path):
+    asked, path = tmp_path / "asked", str(tmp_path / "labels")
+    asked.mkdir()
+    df = spark.createDataFrame([(1, "bad"), (2, "fine")], "k long, discharge_text string")
+    label_new(df, "k", ["ards_detected"], _counting(asked, fail="fine"), path)
+    assert [r["k"] for r in read_parquet(spark, path).collect()] == [1]
+    label_new(df, "k", ["ards_detected"], _counting(asked), path)
+    assert _calls(asked) == 3
+    assert sorted(r["k"] for r in read_parquet(spark, path).collect()) == [1, 2]
+
+
+def test_many_concepts_cross_the_network_once(spark):
+    df = spark.createDataFrame([(1, "bad")], "k long, discharge_text string")
+    labels = label_many(df, "k", "discharge_text", _counting("/nowhere"), ["ards_detected", "trali_detected"])
+    plan = labels._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+
+
+def test_batch_starts_anywhere(spark):
+    df = spark.range(10).withColumnRenamed("id", "k")
+    assert [r["k"] for r in first_rows(df, ["k"], rows=3, start=4).collect()] == [4, 5, 6]

@@ -91,7 +91,6 @@ ID_SEPARATOR = ", "
 
 CHUNK_SIZE = 4096
 CHUNK_OVERLAP = 100
-BATCH_ROWS = 1953
 YES = "Yes"
 NO = "No"
 NO_ANSWER = "No sufficient data"

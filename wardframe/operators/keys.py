@@ -40,6 +40,6 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
 
 
-def first_rows(df: DataFrame, order: list[str | Column], rows: int) -> DataFrame:
-    """A bounded batch: the first ``rows`` rows in order."""
-    return df.orderBy(*order).limit(rows)
+def first_rows(df: DataFrame, order: list[str | Column], rows: int, start: int = 0) -> DataFrame:
+    """A bounded batch: ``rows`` rows in order, from number ``start`` on."""
+    return df.orderBy(*order).offset(start).limit(rows)

@@ -244,9 +244,10 @@ def label_cascade(
     )
 
 
-def unseen(df: DataFrame, labels: DataFrame, key: str) -> DataFrame:
-    """The rows that the label table does not hold yet."""
-    return df.join(labels.select(key), key, "left_anti")
+def unseen(df: DataFrame, labels: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """The rows that the label table does not hold yet, by one key or several."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.join(labels.select(*keys), keys, "left_anti")
 
 
 def encoded(label: Column) -> Column:

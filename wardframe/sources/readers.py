@@ -13,10 +13,14 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and quoted fields that may hold line breaks and quotes."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header and quoted fields.
+
+    Where fields may hold line breaks a file is read by one task; without them
+    large files are split.
+    """
     return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False
+        path, schema=schema, header=True, multiLine=line_breaks, quote='"', escape='"', enforceSchema=False
     )
 
 
@@ -26,4 +30,5 @@ def read_notes_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_modelling_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, schemas.MODELLING)
+    """The modelling table; it holds numbers only, so its files can be split."""
+    return read_csv(spark, path, schemas.MODELLING, line_breaks=False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,16 +34,28 @@ def existing_labels(spark: SparkSession, path: str, like: DataFrame, fmt: str =
         return None
 
 
-def append_labels(labels: DataFrame, path: str, key: str = KEY, fmt: str = "parquet") -> None:
-    """Append the rows whose key the table does not hold yet.
+def label_keys(labels: DataFrame, key: str = KEY) -> list[str]:
+    """What names a label: the key, and the concept where the table holds several."""
+    return [key, *(["concept"] if "concept" in labels.columns else [])]
+
 
-    A run that is repeated after a failure therefore adds no row twice. Each
-    CSV part file carries its own header.
+def append_labels(
+    labels: DataFrame, path: str, keys: str | Sequence[str] | None = None, fmt: str = "parquet"
+) -> None:
+    """Append the rows whose keys (``label_keys`` if not given) the table does not hold yet.
+
+    A run that is repeated after a failure therefore adds no row twice, and
+    keys doubled within ``labels`` are added once. Each CSV part file carries
+    its own header.
     """
+    keys = label_keys(labels) if keys is None else [keys] if isinstance(keys, str) else list(keys)
     written = existing_labels(labels.sparkSession, path, labels, fmt)
-    fresh = labels if written is None else labels.join(written.select(key), key, "left_anti")
+    fresh = labels.dropDuplicates(keys)
+    if written is not None:
+        fresh = fresh.join(written.select(*keys), keys, "left_anti")
     writer = fresh.write.mode("append")
     if fmt == "csv":
         writer.csv(path, **_CSV)
     else:
         writer.parquet(path)
+
