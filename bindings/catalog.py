@@ -14,8 +14,10 @@ from wardframe.fixed_values import (
     C_BINARY,
     C_CONTINUOUS,
     C_TEXT,
+    CONCEPT_LABEL_WEIGHT_DECAY,
     KEY,
     LABEL,
+    LOGISTIC_WEIGHT_DECAY,
     PROMPTS,
     TEXT_SOURCES,
     X_BINARY,
@@ -35,6 +37,7 @@ from wardframe.operators.notes import ecg_by_patient, radiology_by_admission, re
 from wardframe.operators.scoring import (
     ALL_CONCEPTS,
     CONCEPTS,
+    FEATURES,
     WEIGHTS_SCHEMA,
     load_weights,
     save_weights,
@@ -661,12 +664,12 @@ def fit_cbm_sequential_context(spark, sf_dir):
 
 @query
 def fit_cbm_joint(spark, sf_dir):
-    return _weights(spark, "base", fitting.fit_joint(_prepared(spark, sf_dir)).model)
+    return _weights(spark, "base", _study(spark, sf_dir).joint_model())
 
 
 @query
 def fit_cbm_joint_context(spark, sf_dir):
-    return _weights(spark, "context", fitting.fit_joint(_prepared(spark, sf_dir), with_text=True).model)
+    return _weights(spark, "context", _study(spark, sf_dir).joint_model(with_text=True))
 
 
 def _label_fits(spark, sf_dir, predicted_by):
@@ -686,9 +689,57 @@ def fit_c_to_y_true(spark, sf_dir):
 @query
 def fit_c_to_y_pred(spark, sf_dir):
     """Concepts as the joint fits predict them: without text concepts, and with them."""
-    frame = _prepared(spark, sf_dir)
+    study = _study(spark, sf_dir)
     parts = [
-        _weights(spark, name, fitting.fit_label_from_concepts(frame, fitting.fit_joint(frame, with_text=text).model, text))
+        _weights(spark, name, fitting.fit_label_from_concepts(study.frame, study.joint_model(text), text))
         for name, text in (("plain", False), ("with_text", True))
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+SLOPES_SCHEMA = "model string, src string, dst string, slope double"
+
+
+def _slopes(spark, rows):
+    return spark.createDataFrame(rows, SLOPES_SCHEMA).select("model", "src", "dst", F.round("slope", 6).alias("slope"))
+
+
+@query
+def logistic_slopes(spark, sf_dir):
+    """Loss of the plain model at fixed weights and its slope in each."""
+    loss, slopes = fitting.logistic_slopes(_prepared(spark, sf_dir), t.plain_model())
+    return _slopes(spark, [("plain", "loss", LABEL, loss), *(("plain", n, LABEL, v) for n, v in slopes.items())])
+
+
+def _joint_slopes(spark, sf_dir, name, model):
+    train, valid, w = fitting.joint_slopes(_prepared(spark, sf_dir), model)
+    rows = [(name, "loss", "train", train), (name, "loss", "validation", valid)]
+    rows += [(name, f, c, float(w.concept[i, j])) for i, f in enumerate(FEATURES) for j, c in enumerate(CONCEPTS)]
+    rows += [(name, c, LABEL, float(v)) for c, v in zip([*CONCEPTS, *C_TEXT], [*w.label, *w.text], strict=False)]
+    return _slopes(spark, rows)
+
+
+@query
+def joint_slopes(spark, sf_dir):
+    """Joint loss of the base model at fixed weights and its slope in each."""
+    return _joint_slopes(spark, sf_dir, "base", t.base_model())
+
+
+@query
+def joint_slopes_context(spark, sf_dir):
+    return _joint_slopes(spark, sf_dir, "context", t.context_model())
+
+
+@query
+def fits_at_minimum(spark, sf_dir):
+    """The slope of each convex fit's loss at the weights it found: zero, to six digits."""
+    frame = _prepared(spark, sf_dir)
+    fits = {"plain": (fitting.fit_logistic(frame), LOGISTIC_WEIGHT_DECAY)}
+    for name, text in (("plain", False), ("with_text", True)):
+        decay = CONCEPT_LABEL_WEIGHT_DECAY[name]
+        fits[f"c_to_y_{name}"] = (fitting.fit_label_from_concepts(frame, None, text), decay)
+    rows = []
+    for name, (model, decay) in fits.items():
+        slopes = fitting.logistic_slopes(frame, model, weight_decay=decay)[1]
+        rows += [(name, n, LABEL, abs(v)) for n, v in slopes.items()]
+    return _slopes(spark, rows)

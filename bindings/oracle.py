@@ -813,3 +813,70 @@ ORACLE_SQL["flip_listing"] = _with(
 ) + f"""
 SELECT {KEY}, context_outcome AS outcome, '{C_BINARY[0]}' AS intervention, round(new_prob, 6) AS new_prob
 FROM flipped WHERE (context_outcome = 'FN' AND new_prob >= 0.5) OR (context_outcome = 'FP' AND new_prob <= 0.5)"""
+
+# --- fits: loss and slopes at fixed weights, spelled out per weight -------------------------------
+
+_TRAIN = "train AS MATERIALIZED (SELECT * FROM prepared WHERE split = 'train')"
+
+
+def _rows(model: str, values: dict[tuple[str, str], str], source: str) -> str:
+    """One aggregate of all values, then a row for each."""
+    names = {pair: f"v{i}" for i, pair in enumerate(values)}
+    return f", a AS MATERIALIZED (SELECT {', '.join(f'{values[p]} AS {n}' for p, n in names.items())} FROM {source}) " + (
+        " UNION ALL ".join(
+            f"SELECT '{model}' AS model, '{src}' AS src, '{dst}' AS dst, round({n}, 6) AS slope FROM a"
+            for (src, dst), n in names.items()
+        )
+    )
+
+
+def _cross_entropy(target: str, probability: str) -> str:
+    return f"-({target} * ln({probability}) + (1 - {target}) * ln(1 - {probability}))"
+
+
+_plain = t.plain_model().weights
+ORACLE_SQL["logistic_slopes"] = _with(
+    *READY, _TRAIN, f"p AS MATERIALIZED (SELECT *, {_sigmoid(_dot(_plain))} AS p FROM train)"
+) + _rows(
+    "plain",
+    {
+        ("loss", LABEL): f"avg({_cross_entropy(LABEL, 'p')}) + 0.00005e0 * {_number(sum(w * w for w in _plain.values()))}",
+        **{(f, LABEL): f"avg((p - {LABEL}) * {f}) + 0.0001e0 * {_number(w)}" for f, w in _plain.items()},
+    },
+    "p",
+)
+
+
+def _joint(name: str, model) -> str:
+    label = model.label.weights
+    losses = [_cross_entropy(LABEL, "p")]
+    losses += [f"{0.5 / len(C_BINARY)!r}e0 * ({_cross_entropy(c, 'q_' + c)})" for c in C_BINARY]
+    losses += [f"{0.5 / len(C_CONTINUOUS)!r}e0 * pow(q_{c} - {c}, 2)" for c in C_CONTINUOUS]
+    into = {
+        c: f"((p - {LABEL}) * {_number(label[c])} * q_{c} * (1 - q_{c}) + {0.5 / len(C_BINARY)!r}e0 * (q_{c} - {c}))"
+        for c in C_BINARY
+    } | {
+        c: f"((p - {LABEL}) * {_number(label[c])} + {0.5 * 2 / len(C_CONTINUOUS)!r}e0 * (q_{c} - {c}))" for c in C_CONTINUOUS
+    }
+    in_train = "FILTER (WHERE split = 'train')"
+    values = {
+        ("loss", "train"): f"avg({' + '.join(losses)}) {in_train}",
+        ("loss", "validation"): f"avg({' + '.join(losses)}) FILTER (WHERE split = 'validation')",
+        **{(f, c): f"avg({f} * d_{c}) {in_train}" for f in FEATURES for c in CONCEPTS},
+        **{(c, LABEL): f"avg((p - {LABEL}) * {c if c in C_TEXT else 'q_' + c}) {in_train}" for c in label},
+    }
+    return _with(
+        *READY,
+        f"q AS (SELECT *, {_concepts(model, 'q_')} FROM prepared WHERE split IN ('train', 'validation'))",
+        f"p AS (SELECT *, {_sigmoid(_dot(label, 'q_'))} AS p FROM q)",
+        f"d AS MATERIALIZED (SELECT *, {', '.join(f'{e} AS d_{c}' for c, e in into.items())} FROM p)",
+    ) + _rows(name, values, "d")
+
+
+ORACLE_SQL["joint_slopes"] = _joint("base", _base)
+ORACLE_SQL["joint_slopes_context"] = _joint("context", _context)
+ORACLE_SQL["fits_at_minimum"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS model, '{src}' AS src, '{LABEL}' AS dst, 0.0::DOUBLE AS slope"
+    for model, names in (("plain", FEATURES), ("c_to_y_plain", CONCEPTS), ("c_to_y_with_text", ALL_CONCEPTS))
+    for src in names
+)

@@ -103,9 +103,25 @@ def fit_logistics(
                 moved = max(moved, float(np.abs(weights[k] - w).max()))
             if moved < NEWTON_TOLERANCE:
                 break
+        else:
+            raise RuntimeError(f"no convergence in {NEWTON_STEPS} steps; the last moved a weight by {moved:g}")
     return {t: dict(zip(columns, map(float, weights[k]), strict=True)) for k, t in enumerate(targets)}
 
 
+def logistic_slopes(
+    frame: DataFrame, model: LabelModel, label: str = LABEL, weight_decay: float = LOGISTIC_WEIGHT_DECAY
+) -> tuple[float, dict[str, float]]:
+    """Penalised mean loss over the training rows at given weights, and its slope in each of them."""
+    columns, w = list(model.weights), np.array(list(model.weights.values()))
+    width = len(columns)
+    with _kept(_train(frame).select(*columns, label)) as blocks:
+        size = 2 + width + width * width
+        sums = block_totals(blocks, width + 1, size, lambda b: _logistic_sums(b, w[None, :], 1))
+    mean = sums[1:] / max(sums[0], 1.0)
+    slopes = mean[1 : 1 + width] + weight_decay * w
+    return float(mean[0] + weight_decay / 2 * w @ w), dict(zip(columns, map(float, slopes), strict=True))
+
+
 def fit_logistic(
     frame: DataFrame,
     columns: Sequence[str] = FEATURES,
@@ -257,6 +273,24 @@ def joint_step(blocks: DataFrame, w: Weights, text: Sequence[str]) -> tuple[floa
     return train_loss / max(train_rows, 1), valid_loss / max(valid_rows, 1), sums[4:] / max(train_rows, 1)
 
 
+def _joint_rows(frame: DataFrame, text: Sequence[str]) -> DataFrame:
+    is_train = (F.col(SPLIT) == "train").cast("double")
+    return frame.where(F.col(SPLIT).isin("train", "validation")).select(
+        *FEATURES, *CONCEPTS, *text, LABEL, is_train.alias("is_train")
+    )
+
+
+def joint_slopes(frame: DataFrame, model: ConceptModel) -> tuple[float, float, Weights]:
+    """Mean joint loss on training and validation rows at given weights, and the slope of the first."""
+    text = [name for name in C_TEXT if name in model.label.weights]
+    concept = np.array([[model.concepts[c][f] for c in CONCEPTS] for f in FEATURES])
+    label = model.label.weights
+    w = Weights(concept, np.array([label[c] for c in CONCEPTS]), np.array([label[c] for c in text]))
+    with _kept(_joint_rows(frame, text)) as blocks:
+        train, valid, slopes = joint_step(blocks, w, text)
+    return float(train), float(valid), Weights.from_flat(slopes, len(text))
+
+
 @dataclass
 class JointFit:
     model: ConceptModel
@@ -278,10 +312,7 @@ def fit_joint(
     after ``patience`` epochs without a lower one.
     """
     text = C_TEXT if with_text else ()
-    is_train = (F.col(SPLIT) == "train").cast("double")
-    rows = frame.where(F.col(SPLIT).isin("train", "validation")).select(
-        *FEATURES, *CONCEPTS, *text, LABEL, is_train.alias("is_train")
-    )
+    rows = _joint_rows(frame, text)
     values = Weights.start(len(text)).flat()
     first, second = np.zeros_like(values), np.zeros_like(values)
     fit = JointFit(ConceptModel({}, LabelModel({})))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardframe.fixed_values import LABEL
+from wardframe.operators import fitting
 from wardframe.operators.correlation import correlation_matrix
 from wardframe.operators.interventions import MEAN, MEDIAN, Setting
 from wardframe.operators.metrics import outcome
@@ -36,7 +38,8 @@ def score_both(rows: DataFrame, base: ConceptModel, context: ConceptModel) -> Da
 class ConceptStudy:
     """``frame`` is the prepared frame and ``scored`` the written scores of one split.
 
-    The second model differs by the text concepts in its label layer.
+    The second model differs by the text concepts in its label layer. Statistics
+    and fitted models, a few hundred numbers, are computed once and kept.
     """
 
     frame: DataFrame
@@ -45,6 +48,12 @@ class ConceptStudy:
     context: ConceptModel
     split: str
     scored: DataFrame
+    kept: dict[tuple, Any] = field(default_factory=dict, repr=False, compare=False)
+
+    def _once(self, name: tuple, compute: Callable[[], Any]) -> Any:
+        if name not in self.kept:
+            self.kept[name] = compute()
+        return self.kept[name]
 
     @classmethod
     def build(
@@ -63,7 +72,11 @@ class ConceptStudy:
 
     def replacements(self, kind: str, stats_from: str | None = None) -> Mapping[str, float | None]:
         """Mean or median of the true concepts, by default of the studied split."""
-        if stats_from in (None, self.split):
+        own = stats_from or self.split
+        return self._once(("replacements", kind, own), lambda: self._replacements(kind, own))
+
+    def _replacements(self, kind: str, stats_from: str) -> Mapping[str, float | None]:
+        if stats_from == self.split:
             source = self.scored
         else:
             source = self.frame.where(F.col(SPLIT) == stats_from)
@@ -83,5 +96,12 @@ class ConceptStudy:
             label=(self.context if enhanced else self.base).label,
             prefix=predicted_by or (CONTEXT if enhanced else BASE),
             values=self.replacements(kind, stats_from) if kind in (MEAN, MEDIAN) else {},
-            correlation=correlation_matrix(self.scored, ALL_CONCEPTS) if correlated else {},
+            correlation=self._correlation() if correlated else {},
         )
+
+    def _correlation(self) -> Any:
+        return self._once(("correlation",), lambda: correlation_matrix(self.scored, ALL_CONCEPTS))
+
+    def joint_model(self, with_text: bool = False) -> ConceptModel:
+        """The model that the joint fit finds on the prepared frame."""
+        return self._once(("joint", with_text), lambda: fitting.fit_joint(self.frame, with_text=with_text).model)
