@@ -10,6 +10,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from bindings.catalog import QUERIES  # noqa: E402
+from bindings.oracle import ORACLE_SQL  # noqa: E402
 from tests.compare import compare, oracle_connection  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,19 +25,20 @@ def connection():
 
 
 def test_only_fits_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == set(FITS)
+    assert set(QUERIES) - set(ORACLE_SQL) == set(FITS)
+    assert set(ORACLE_SQL) <= set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in FITS])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in FITS])
 def test_matches_sql(spark, connection, name):
     built = []
 
     def query(session, sf_dir):
-        built.append(entry.queries()[name](session, sf_dir))
+        built.append(QUERIES[name](session, sf_dir))
         return built[0]
 
-    verdict = compare(spark, connection, SF_DIR, name, query, entry.oracle_sql()[name])
+    verdict = compare(spark, connection, SF_DIR, name, query, ORACLE_SQL[name])
     assert verdict.startswith("ok"), verdict
     plan = built[0]._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
