@@ -43,7 +43,7 @@ TABLE, PARAGRAPH, ITEMS = frozenset({"table"}), frozenset({"p"}), frozenset({"td
 JUNK = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored outbrain taboola"
     " nav navbar navigation navbox menu breadcrumb breadcrumbs pagination pager toc sidebar aside widget rail"
-    " header masthead footer colophon copyright comment comments commentlist disqus discussion replies reply respond reader"
+    " header masthead footer colophon copyright comment comments commentlist disqus discussion replies reply respond"
     " cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup"
     " share sharing social related recommended recommendations login search complementary contentinfo".split()
 )
