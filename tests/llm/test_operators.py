@@ -355,6 +355,48 @@ def test_bk_tree_follows_only_some_edges():
     assert found == set(zip(*(x.tolist() for x in np.nonzero(apart <= 3)), strict=True))
 
 
+def test_bk_tree_of_long_fingerprints():
+    random = np.random.default_rng(4)
+    values = random.integers(0, 1 << 64, (400, simhash.LONG_WORDS), dtype=np.uint64)
+    queries = values[:100] ^ (random.integers(0, 1 << 64, (100, simhash.LONG_WORDS), dtype=np.uint64) & np.uint64(0x0101010101010101))
+    apart = np.bitwise_count(queries[:, None] ^ values[None]).sum(-1, dtype=int)
+    for radius in (simhash.LONG_RADIUS, 250):
+        pairs = simhash.BKTree(values).within(radius, queries, np.arange(100))
+        found = {(int(a), int(b)) for x, y in pairs for a, b in zip(x, y, strict=True)}
+        assert found == set(zip(*(x.tolist() for x in np.nonzero(apart <= radius)), strict=True))
+
+
+@pytest.mark.parametrize("shard", [1000, 12])
+def test_similar_documents_meet_and_others_do_not(spark, shard):
+    """A large group of near copies, small ones, and texts that share one passage; a small shard cuts groups into blocks."""
+    random = np.random.default_rng(8)
+    vocabulary = ["".join(map(chr, random.integers(97, 123, 6))) for _ in range(900)]
+    text = lambda n: list(random.choice(vocabulary, n))
+    passage, groups = text(40), []
+    for group, size in enumerate([120] + [2] * 15 + [1] * 40):
+        original = text(300) + passage
+        for i in range(size):
+            copy = list(original)
+            if i:  # ten to fifteen of 336 shingles go
+                for at in random.choice(300, 3, replace=False):
+                    copy[at] = "changed"
+            groups.append((len(groups), group, " ".join(copy)))
+    df = spark.createDataFrame(groups, "doc_id long, group long, text string").repartition(5)
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(df, shard=shard).collect()}
+    first = {}
+    for i, group, _ in groups:
+        assert found[i] == first.setdefault(group, i)
+
+
+def test_similar_documents_awkward(spark, awkward, nothing):
+    rows = simhash.similar_documents(awkward).collect()
+    assert len(rows) == len(AWKWARD)
+    alone = {4: 4, 5: 5, 6: 6, 7: 7, 10: 10, 11: 11}
+    same = {1: 1, 2: 1, 3: 1, 8: 8, 9: 8}
+    assert ordered(r for r in rows if r["doc_id"] is not None) == ordered([*(alone | same).items(), (8, 8)])
+    assert simhash.similar_documents(nothing).count() == 0
+
+
 def test_one_document_of_each_component_stays(spark, awkward):
     kept = simhash.representatives(awkward)
     assert kept.columns == awkward.columns

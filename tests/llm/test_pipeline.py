@@ -15,11 +15,19 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _fingerprint(text):
-    ws = text.encode().lower().split()
-    parts = [b" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] or ([b" ".join(ws)] if ws else [])
-    hashes = np.array([xxhash.xxh64_intdigest(p, 42) for p in parts], dtype=">u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0)
-    return int.from_bytes(np.packbits(bits * 2 > len(parts)).tobytes(), "big")
+    """512 bits, one at a time: what over half of the hashes of five-word shingles have set."""
+    ws = text.translate(LOWER).encode().split()
+    parts = [b" ".join(ws[i : i + 5]) for i in range(len(ws) - 4)] or ([b" ".join(ws)] if ws else [])
+    hashes = np.array([xxhash.xxh64_intdigest(p, 42) for p in parts], dtype=np.uint64)
+    out = 0
+    for word in range(8):
+        mixed = hashes + np.uint64((word + 1) * 0x9E3779B97F4A7C15 % 2**64)
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        mixed = mixed ^ (mixed >> np.uint64(31))
+        for bit in range(64):
+            out = out << 1 | int(2 * ((mixed >> np.uint64(bit)) & np.uint64(1)).sum() > len(parts))
+    return out
 
 
 def _windows(text):
@@ -43,7 +51,7 @@ def test_pipeline_rows(spark):
         changed = False
         for a in left:
             for b in left:
-                if bin(prints[a] ^ prints[b]).count("1") <= 3 and top[b] < top[a]:
+                if (prints[a] ^ prints[b]).bit_count() <= 86 and top[b] < top[a]:
                     top[a], changed = top[b], True
     left = {i: t for i, t in left.items() if top[i] == i}
     benchmark = set().union(*(_windows(r["text"]) for r in texts.table(spark, SF, "benchmark").collect()))
