@@ -142,6 +142,10 @@ def test_digest_index_goes_on(spark):
     found = {r[0]: (r["keep_id"], r["kept"]) for r in digests.deduplicate(two, index).collect()}
     assert found == {9: (2, False), 8: (8, True), 7: (8, False)}
     assert index.rows().count() == 3
+    three = spark.createDataFrame([(5, "d"), (4, "D")], "doc_id long, text string")
+    for _ in range(2):  # a batch that is repeated gets the same verdicts
+        assert {r[0]: r["kept"] for r in digests.deduplicate(three, index, batch="third").collect()} == {5: True, 4: False}
+    assert index.rows().count() == 4
     plan = one.select(digests.text_digest(one["text"]).alias("digest")).join(
         index.rows().select("digest").hint("merge"), "digest", "left_anti"
     )

@@ -24,7 +24,7 @@ def text_digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A table of the digests met so far, one row each: ``digest``, ``keep_id``.
+    """A table of the digests met so far, one row each: ``digest``, ``keep_id``, ``batch``.
 
     ``path`` lies in storage that all executors share. The table's name lives in
     the session's catalog: with a persistent catalog a later session goes on.
@@ -33,19 +33,22 @@ class DigestIndex:
     def __init__(self, spark: SparkSession, table: str, path: str, buckets: int = BUCKETS) -> None:
         self.spark, self.table, self.path, self.buckets = spark, table, path, buckets
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.table)
-
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def add(self, found: DataFrame) -> None:
-        """Append the rows of ``found`` (``digest``, ``keep_id``; one row a digest) not in the index yet."""
-        fresh = found.select("digest", "keep_id")
-        if self.exists():
-            fresh = fresh.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+    def add(self, found: DataFrame, batch: str) -> None:
+        """Append the rows of ``found`` (``digest``, ``keep_id``; one row a digest) not in the index yet.
+
+        A batch that is added again, after a failure, finds its own rows and adds none.
+        """
+        marked = found.select("digest", "keep_id", F.lit(batch).alias("batch"))
+        if not self.spark.catalog.tableExists(self.table):
+            self._append(marked.where("false"))
+        self._append(marked.join(self.rows().select("digest").hint("merge"), "digest", "left_anti"))
+
+    def _append(self, rows: DataFrame) -> None:
         (
-            fresh.repartition(self.buckets, "digest")
+            rows.repartition(self.buckets, "digest")
             .sortWithinPartitions("digest")
             .write.mode("append")
             .bucketBy(self.buckets, "digest")
@@ -62,7 +65,11 @@ def new_index(spark: SparkSession) -> DigestIndex:
 
 
 def deduplicate(
-    docs: DataFrame, index: DigestIndex, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    index: DigestIndex,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    batch: str | None = None,
 ) -> DataFrame:
     """One row per document: ``id_column``, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
 
@@ -72,45 +79,35 @@ def deduplicate(
     none of the batch stays. ``group_size`` counts the rows of the batch. Repeated
     rows (same id and text) share one verdict. Ids may be null: such a row is
     never kept beside one with an id, and ``keep_id`` is null where no row of
-    the group has one; then the group's rows count as kept.
+    the group has one; then the group's rows count as kept. A ``batch`` that was
+    named and is repeated gets the same verdicts.
 
     Texts are read once and only digests travel. Groups are counted before the
-    shuffle, so a group with a third of all rows is one row per task; the join
-    that hands the verdict to each row has a plain exchange on both sides,
+    shuffle, so a group with a third of all rows is one row per task; what of
+    them the index lacks goes into it, and verdicts are read off the index. The
+    join that hands them to each row has a plain exchange on both sides,
     which adaptive execution splits where one digest is hot.
     """
+    batch = batch or uuid.uuid4().hex
     digests = materialize(
         docs.select(F.col(id_column).alias("id"), text_digest(F.col(text_column)).alias("digest")), "digests"
     )
     groups = materialize(
         digests.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")), "groups"
     )
-    known = index.exists()
-    earlier = None
-    if known:
-        matched = groups.select("digest").join(index.rows().hint("merge"), "digest")
-        earlier = materialize(matched, "earlier")
-    index.add(groups)
-    if earlier is not None:
-        groups = groups.join(
-            earlier.select("digest", F.col("keep_id").alias("first_id"), F.lit(True).alias("seen")), "digest", "left"
-        ).select(
-            "digest",
-            F.when(F.col("seen"), F.col("first_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-            "group_size",
-            F.coalesce("seen", F.lit(False)).alias("seen"),
-        )
-    else:
-        groups = groups.withColumn("seen", F.lit(False))
-    return (
-        digests.join(groups, "digest", "left")
-        .select(
-            F.col("id").alias(id_column),
-            "keep_id",
-            "group_size",
-            (F.col("id").eqNullSafe(F.col("keep_id")) & ~F.col("seen")).alias("kept"),
-            F.col("digest").alias("text_sha256"),
-        )
+    index.add(groups, batch)
+    verdicts = materialize(
+        groups.select("digest", "group_size")
+        .join(index.rows().hint("merge"), "digest")
+        .select("digest", "keep_id", "group_size", (F.col("batch") == batch).alias("first")),
+        "verdicts",
+    )
+    return digests.join(verdicts, "digest").select(
+        F.col("id").alias(id_column),
+        "keep_id",
+        "group_size",
+        (F.col("id").eqNullSafe(F.col("keep_id")) & F.col("first")).alias("kept"),
+        F.col("digest").alias("text_sha256"),
     )
 
 
