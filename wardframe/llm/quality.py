@@ -136,7 +136,8 @@ def _labelled(docs: DataFrame, labels: DataFrame, sites: Sites) -> DataFrame:
 def fit_text_classifier(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> TextClassifier | None:
     """Fit on about ``sample`` labelled documents, chosen by a hash of their id; None without both classes.
 
-    Features are made in the tasks; the driver gets a few numbers a document.
+    Features are made in the tasks; the driver gets a few numbers a document. Rows that
+    share an id count once, so an id with a third of all rows does not enlarge the sample.
     """
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
     n = marks.agg(F.count("*")).first()[0]
@@ -160,7 +161,8 @@ def fit_text_classifier(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     made = texts.mapInArrow(run, f"doc_id {kind}, x array<double>")
-    rows = sorted((r["doc_id"], r["good"], r["x"]) for r in made.join(chosen, "doc_id").collect())
+    once = made.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct("good", "x")).alias("row"))
+    rows = sorted((r["doc_id"], r["row"]["good"], r["row"]["x"]) for r in once.collect())
     good = np.array([r[1] > 0.5 for r in rows], dtype=np.float64)
     if len(rows) == 0 or good.min() == good.max():
         return None
