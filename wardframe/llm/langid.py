@@ -132,10 +132,10 @@ def fit_language_network(
 ) -> Network | None:
     """Train on a sample of labelled documents that are not held out; None without any.
 
-    All such documents are counted per language; a hash of the id then picks
+    All such documents are counted per language; a hash of id and text then picks
     about ``per_language`` of each, so the driver holds a bounded number of
     windows whatever the size of the corpus. Windows are drawn in the tasks,
-    from all over the text.
+    from all over the text; equal ones count once.
     """
     labelled = docs.select(
         F.col(id_column).alias("k"), F.col(text_column).cast("string").alias("t"), F.col(label_column).alias("l")
@@ -157,8 +157,8 @@ def fit_language_network(
                 windows += [data[s : s + WINDOW].ljust(WINDOW, b"\0") for s in starts]
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(windows, pa.binary())], ["l", "w"])
 
-    sample = labelled.where(F.pmod(F.xxhash64("k"), F.lit(scale)) < chosen).select("t", "l")
-    rows = sample.mapInArrow(draw, "l string, w binary").collect()
+    sample = labelled.where(F.pmod(F.xxhash64("k", "t"), F.lit(scale)) < chosen).select("t", "l")
+    rows = sample.mapInArrow(draw, "l string, w binary").distinct().collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["l"], bytes(r["w"])))
