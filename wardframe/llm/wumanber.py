@@ -20,7 +20,8 @@ from wardframe.session import materialize
 #: Consecutive words of an item that make a window.
 WINDOW_WORDS = 10
 #: Bytes of benchmark text in one search; a larger benchmark is searched for in blocks.
-BLOCK_BYTES = 8 << 20
+#: The tables of a block take some 150 times as much in each Python worker.
+BLOCK_BYTES = 2 << 20
 SLICE_BYTES = 4 << 20
 
 ADDED = "n_words bigint, hit_spans array<struct<begin:bigint,end:bigint>>, hit_items array<string>"
