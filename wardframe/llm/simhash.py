@@ -435,6 +435,7 @@ def _named(distinct: DataFrame, roots: DataFrame) -> DataFrame:
     """``fp`` and ``component_id``, the smallest id of its component, of each of ``distinct`` (``fp``, ``least``)."""
     rooted = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = materialize(named, "component-names")  # a plain exchange on both sides of the join lets Spark split a large one
     return materialize(rooted.join(named, "root").select("fp", "component_id"), "components")
 
 
