@@ -13,26 +13,45 @@ from pyspark.sql import functions as F
 
 from wardframe.fixed_values import CHUNK_OVERLAP, CHUNK_SIZE, NOTE_SEPARATOR
 
+#: Blocks that one window accumulates, and how often blocks are grouped by so many.
+FAN, LEVELS = 1000, 2
+_EARLIER = (Window.unboundedPreceding, -1)
+
+
+def _block_starts(totals: DataFrame, key: str, levels: int = LEVELS) -> DataFrame:
+    """The width of all blocks before each block of its key: ``key``, ``block``, ``block_start``.
+
+    Blocks are summed in groups of ``FAN`` and accumulated within their group, the groups
+    likewise, so a window holds a key's blocks divided by ``FAN`` as often as there are levels.
+    """
+    if not levels:
+        window = Window.partitionBy(key).orderBy("block").rowsBetween(*_EARLIER)
+        return totals.select(key, "block", F.coalesce(F.sum("block_width").over(window), F.lit(0)).alias("block_start"))
+    grouped = totals.withColumn("outer", F.floor(F.col("block") / FAN))
+    outer = grouped.groupBy(key, "outer").agg(F.sum("block_width").alias("block_width")).withColumnRenamed("outer", "block")
+    starts = _block_starts(outer, key, levels - 1).select(key, F.col("block").alias("outer"), F.col("block_start").alias("start"))
+    window = Window.partitionBy(key, "outer").orderBy("block").rowsBetween(*_EARLIER)
+    inside = F.coalesce(F.sum("block_width").over(window), F.lit(0))
+    return (
+        grouped.withColumn("inside", inside)
+        .join(starts, [key, "outer"])
+        .select(key, "block", (F.col("start") + F.col("inside")).alias("block_start"))
+    )
+
 
 def with_offsets(notes: DataFrame, key: str, order: str, block: F.Column, text: str = "text") -> DataFrame:
     """Add each note's first position in the joined text of its key.
 
     A running sum per key would put a very large key in one task. Lengths are
-    summed per key and block first; only the block totals are accumulated per
-    key, and notes only within their block. ``block`` must not decrease along
-    ``order``. The separator is counted as part of every note but the first.
+    summed per key and block first; block totals are accumulated in groups,
+    and notes only within their block. ``block`` is a whole number that must not decrease
+    along ``order``. The separator is counted as part of every note but the first.
     """
     sized = notes.where(F.col(text).isNotNull()).select(
         key, order, text, block.alias("block"), (F.length(text) + F.lit(len(NOTE_SEPARATOR))).alias("width")
     )
-    earlier = (Window.unboundedPreceding, -1)
-    by_key = Window.partitionBy(key).orderBy("block").rowsBetween(*earlier)
-    by_block = Window.partitionBy(key, "block").orderBy(order).rowsBetween(*earlier)
-    starts = (
-        sized.groupBy(key, "block")
-        .agg(F.sum("width").alias("block_width"))
-        .select(key, "block", F.coalesce(F.sum("block_width").over(by_key), F.lit(0)).alias("block_start"))
-    )
+    by_block = Window.partitionBy(key, "block").orderBy(order).rowsBetween(*_EARLIER)
+    starts = _block_starts(sized.groupBy(key, "block").agg(F.sum("width").alias("block_width")), key)
     inside = F.coalesce(F.sum("width").over(by_block), F.lit(0))
     return (
         sized.withColumn("inside", inside)
