@@ -392,6 +392,21 @@ def test_similar_documents_meet_and_others_do_not(spark, shard):
         assert found[i] == first.setdefault(group, i)
 
 
+def test_all_blocks_of_a_large_shard_meet(spark):
+    """Texts that share one shard for a passage; its near copies come in pairs, which lie in any two blocks."""
+    random = np.random.default_rng(11)
+    rows = []
+    for i in range(200):
+        if i % 2 == 0:
+            words = random.integers(0, 1 << 64, simhash.LONG_WORDS, dtype=np.uint64)
+        shards = [7, *random.integers(1 << 40, 1 << 62, simhash.TABLES - 1).tolist()]
+        rows.append((i, 300, *(words ^ np.uint64(i % 2)).view(np.int64).tolist(), *shards))
+    names = [f"w{i}" for i in range(simhash.LONG_WORDS)] + [f"s{i}" for i in range(simhash.TABLES)]
+    df = spark.createDataFrame(rows, "node long, n long, " + ", ".join(f"{n} long" for n in names)).repartition(3)
+    found = {(r["a"], r["b"]) for r in simhash.long_links(df, shard=12).collect()}
+    assert found == {(i + 1, i) for i in range(0, 200, 2)}
+
+
 def test_similar_documents_awkward(spark, awkward, nothing):
     rows = simhash.similar_documents(awkward).collect()
     assert len(rows) == len(AWKWARD)

@@ -272,11 +272,9 @@ def long_links(distinct: DataFrame, radius: int = LONG_RADIUS, shard: int = LONG
     """Links among distinct long fingerprints (``node``, words, shards): ``a``, ``b`` with a > b, both nodes.
 
     Only shards of two or more get the words, so what is shuffled wide are
-    texts that have something in common. In a shard of more than ``shard``,
-    blocks are compared with themselves and with the first block, not each with
-    each: its members share their least hashes, so they are copies of one text
-    and meet through the first block; the work grows with the shard, not with its
-    square. Blocks are drawn anew in each of a text's shards.
+    texts that have something in common. A shard of more than ``shard`` is cut into
+    blocks and all pairs of blocks are compared, as in ``links``: texts may share a
+    shard for a passage that they have in common, and near copies lie in any two blocks.
     """
     words = _columns("w", LONG_WORDS)
     keyed = distinct.select("node", F.explode(F.array(*_columns("s", TABLES))).alias("key"))
@@ -284,13 +282,10 @@ def long_links(distinct: DataFrame, radius: int = LONG_RADIUS, shard: int = LONG
     shared = materialize(keyed.join(sizes, "key").select("node", "key", "size"), "shared-shards")
     blocks = F.ceil(F.col("size") / shard).cast("int")
     mine = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    others = F.when(F.col("mine") > 0, F.array(F.col("mine"), F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("blocks") - 1)
-    )
     placed = (
         shared.select("node", "key", blocks.alias("blocks"))
         .select("*", mine.alias("mine"))
-        .select("*", F.explode(others).alias("other"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .join(distinct.select("node", *words), "node")
     )
     return _linked(placed, words, radius)
