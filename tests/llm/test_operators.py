@@ -392,6 +392,25 @@ def test_similar_documents_meet_and_others_do_not(spark, shard):
         assert found[i] == first.setdefault(group, i)
 
 
+def test_repeated_lines_do_not_part_copies(monkeypatch):
+    random = np.random.default_rng(3)
+    vocabulary = ["".join(map(chr, random.integers(97, 123, 6))) for _ in range(900)]
+    body, line = " ".join(random.choice(vocabulary, 300)), " ".join(random.choice(vocabulary, 10))
+    once, often = f"{body} {line}", body + f" {line}" * 100
+    sets = [_shingles(t) for t in (once, often)]
+    assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) > 0.95
+    for part in (1 << 20, 7):
+        monkeypatch.setattr(simhash, "SET_PART", part)
+        (a, _), (b, _) = (simhash.long_fingerprint(t.encode()) for t in (once, often))
+        assert np.bitwise_count(a ^ b).sum() < 50
+        assert [len(simhash.shingle_set(t.encode())) for t in (once, often)] == [len(x) for x in sets]
+
+
+def _shingles(text):
+    ws = (text or "").lower().split()
+    return {" ".join(ws[i : i + 5]) for i in range(len(ws) - 4)} or ({" ".join(ws)} if ws else set())
+
+
 def test_all_blocks_of_a_large_shard_meet(spark):
     """Texts that share one shard for a passage; its near copies come in pairs, which lie in any two blocks."""
     random = np.random.default_rng(11)

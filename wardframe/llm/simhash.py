@@ -42,6 +42,8 @@ LONG_SHINGLE, LONG_WORDS, LONG_RADIUS = 5, 8, 86
 TABLES, TABLE_HASHES = 8, 3
 #: Long fingerprints that one task compares with each other.
 LONG_SHARD = 1_000
+#: Shingle hashes of a text from which repetitions are taken out at a time, or as many as it has distinct ones.
+SET_PART = 1 << 20
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -86,18 +88,34 @@ def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def shingle_set(data: bytes | None, shingle: int = LONG_SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The XXH64 of a text's distinct shingles, sorted; of repetitions it holds one part at a time."""
+    found, parts, held = np.zeros(0, dtype=np.uint64), [], 0
+    for hashes in _hashes(data, shingle, seed):
+        parts.append(hashes)
+        held += len(hashes)
+        if held > max(SET_PART, len(found)):
+            found, parts, held = np.unique(np.concatenate([found, *parts])), [], 0
+    return np.unique(np.concatenate([found, *parts])) if parts else found
+
+
 def long_fingerprint(data: bytes | None, shingle: int = LONG_SHINGLE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """The SimHash of a text in ``LONG_WORDS`` words, and the names of its ``TABLES`` shards."""
-    ones, total = np.zeros((LONG_WORDS, 64), dtype=np.int64), 0
+    """The SimHash of a text's set of shingles in ``LONG_WORDS`` words, and the names of its ``TABLES`` shards.
+
+    Each distinct shingle counts once, as in the similarity that it estimates: a
+    line that one of two copies repeats leaves their fingerprints alike.
+    """
+    every = shingle_set(data, shingle, seed)
+    ones = np.zeros((LONG_WORDS, 64), dtype=np.int64)
     least = np.full((TABLES, TABLE_HASHES), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    for hashes in _hashes(data, shingle, seed):
+    for at in range(0, len(every), 1 << 16):
+        hashes = every[at : at + (1 << 16)]
         for i in range(LONG_WORDS):
             ones[i] += _ones(_mixed(hashes, i + 1))
         for t, k in np.ndindex(least.shape):
             turn = (LONG_WORDS + 1 + t * TABLE_HASHES + k) * _GOLDEN & 0xFFFFFFFFFFFFFFFF | 1
             least[t, k] = min(least[t, k], (hashes * np.uint64(turn)).min())
-        total += len(hashes)
-    words = np.packbits(2 * ones > total, axis=1, bitorder="little").view("<u8")[:, 0]
+    words = np.packbits(2 * ones > len(every), axis=1, bitorder="little").view("<u8")[:, 0]
     names = np.arange(TABLES, dtype=np.uint64)
     for k in range(TABLE_HASHES):
         names = _mixed(names ^ least[:, k], k + 1)
