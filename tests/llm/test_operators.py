@@ -406,6 +406,27 @@ def test_repeated_lines_do_not_part_copies(monkeypatch):
         assert [len(simhash.shingle_set(t.encode())) for t in (once, often)] == [len(x) for x in sets]
 
 
+def test_similarity_decides_links(spark):
+    """Isolated pairs just above and below the similarity, of short and long texts, against the exact one."""
+    random = np.random.default_rng(17)
+    rows, want = [], {}
+    for pair in range(600):
+        n = int(random.integers(8, 60) if pair % 3 == 0 else random.integers(100, 400))
+        ws = ["".join(map(chr, random.integers(97, 123, 6))) for _ in range(n)]
+        least = 0.7 + 0.15 * random.random()
+        cut = max(4, round(least * (n - 4)) + 4)
+        texts_ = [" ".join(ws), " ".join(ws[:cut] + (["other"] * (pair % 2)))]
+        a, b = map(_shingles, texts_)
+        want[2 * pair + 1] = 2 * pair if len(a & b) / len(a | b) >= 0.8 else 2 * pair + 1
+        rows += [(2 * pair + i, t) for i, t in enumerate(texts_)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(df).collect()}
+    over = [i for i in want if want[i] != i]
+    assert 100 < len(over) < 400
+    assert all(found[i] == i for i in found if i % 2 == 0 or want[i] == i)
+    assert sum(found[i] == want[i] for i in over) >= 0.98 * len(over)
+
+
 def _shingles(text):
     ws = (text or "").lower().split()
     return {" ".join(ws[i : i + 5]) for i in range(len(ws) - 4)} or ({" ".join(ws)} if ws else set())

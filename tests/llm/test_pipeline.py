@@ -70,3 +70,25 @@ def test_stages_keep_columns_and_take_awkward_rows(spark):
             assert result.count() <= source.count()
             if name != corpus_pipeline.STAGES[-1][0]:
                 assert result.columns == source.columns
+
+
+def _shingles(text):
+    ws = text.translate(LOWER).encode().split()
+    return {tuple(ws[i : i + 5]) for i in range(len(ws) - 4)} or {tuple(ws)}
+
+
+def test_near_dedup_keeps_one_of_each_component_by_exact_similarity(spark):
+    docs = texts.table(spark, SF, "documents").where("text IS NOT NULL").dropDuplicates(["text"])
+    sets = {r["doc_id"]: _shingles(r["text"]) for r in docs.collect()}
+    top = {i: i for i in sets}
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if top[a] != top[b]:
+                top[a] = top[b] = min(top[a], top[b])
+                changed = True
+    assert pairs
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i in sets if top[i] == i)

@@ -19,9 +19,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardframe.llm.digests import text_digest
 from wardframe.llm.texts import blank_words, byte_values, slices
 from wardframe.session import materialize
 
@@ -33,10 +34,14 @@ SHARD = 4_000
 #: A subtree of so few fingerprints is not divided any further.
 LEAF = 24
 
-#: Of long fingerprints: words of a shingle, words of 64 bits, and the bits that linked ones
-#: differ in at most. Sets with a Jaccard similarity of 0.8 make an angle of 0.476, so they
-#: differ in 77.6 of 512 bits, give or take 8.1; the radius is one such deviation above.
-LONG_SHINGLE, LONG_WORDS, LONG_RADIUS = 5, 8, 86
+#: Of near-dedup by similarity: the least Jaccard similarity of linked sets of shingles.
+SIMILARITY = 0.8
+#: Of long fingerprints: words of a shingle, words of 64 bits, and the bits that those compared
+#: exactly differ in at most. Sets with a Jaccard similarity of 0.8 make an angle of 0.476, so they
+#: differ in 77.6 of 512 bits, give or take 8.1; the radius is three such deviations above.
+LONG_SHINGLE, LONG_WORDS, LONG_RADIUS = 5, 8, 102
+#: Sets of fewer shingles than this may differ in more bits: of four in five of them 96, give or take 8.8.
+SHORT, SHORT_MORE = 10, 20
 #: Shards of each long fingerprint, and least hashes that name a shard together: texts of
 #: similarity 0.8 share one with a probability of 1 - (1 - 0.8^3)^8 = 99.7 %.
 TABLES, TABLE_HASHES = 8, 3
@@ -100,12 +105,16 @@ def shingle_set(data: bytes | None, shingle: int = LONG_SHINGLE, seed: int = SEE
 
 
 def long_fingerprint(data: bytes | None, shingle: int = LONG_SHINGLE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """The SimHash of a text's set of shingles in ``LONG_WORDS`` words, and the names of its ``TABLES`` shards.
+    """The SimHash of a text's set of shingles in ``LONG_WORDS`` words, and the names of its ``TABLES`` shards."""
+    return set_fingerprint(shingle_set(data, shingle, seed))
+
+
+def set_fingerprint(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The long fingerprint of a set of shingle hashes, and the names of its shards.
 
     Each distinct shingle counts once, as in the similarity that it estimates: a
     line that one of two copies repeats leaves their fingerprints alike.
     """
-    every = shingle_set(data, shingle, seed)
     ones = np.zeros((LONG_WORDS, 64), dtype=np.int64)
     least = np.full((TABLES, TABLE_HASHES), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     for at in range(0, len(every), 1 << 16):
@@ -139,20 +148,53 @@ def fingerprints(
 def long_fingerprints(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = LONG_SHINGLE, seed: int = SEED
 ) -> DataFrame:
-    """``id``, the words ``w0``, ``w1``, ... of the long fingerprint and the shards ``s0``, ``s1``, ... of every whole text."""
-    names = _columns("w", LONG_WORDS) + _columns("s", TABLES)
+    """Of every whole text ``id``, ``digest``, ``node``, ``n``, the words ``w0``, ``w1``, ... and the shards ``s0``, ``s1``, ...
+
+    ``digest`` names the text, ``node`` (a hash) its set of ``n`` shingles.
+    """
+    import xxhash
+
+    names = ["node", "n", *_columns("w", LONG_WORDS), *_columns("s", TABLES)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t", SLICE_BYTES):
             found = np.zeros((batch.num_rows, len(names)), dtype=np.uint64)
             for i, data in enumerate(byte_values(batch.column("t"))):
-                found[i] = np.concatenate(long_fingerprint(data, shingle, seed))
+                every = shingle_set(data, shingle, seed)
+                found[i, :2] = xxhash.xxh64_intdigest(every.tobytes(), seed), len(every)
+                found[i, 2:] = np.concatenate(set_fingerprint(every))
             columns = [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in found.T]
-            yield pa.RecordBatch.from_arrays([batch.column("k"), *columns], ["id", *names])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("k"), batch.column("digest"), *columns], ["id", "digest", *names]
+            )
 
-    keyed = docs.select(F.col(id_column).alias("k"), F.col(text_column).cast("string").alias("t"))
+    keyed = docs.select(
+        F.col(id_column).alias("k"), _digest(text_column).alias("digest"), F.col(text_column).cast("string").alias("t")
+    )
     kind = keyed.schema["k"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"id {kind}, " + ", ".join(f"{n} bigint" for n in names))
+    return keyed.mapInArrow(run, f"id {kind}, digest binary, " + ", ".join(f"{n} bigint" for n in names))
+
+
+def shingle_sets(docs: DataFrame, wanted: DataFrame, text_column: str, shingle: int, seed: int) -> DataFrame:
+    """``node`` and ``shingles``, the sorted set of hashes, of the texts that ``wanted`` (``node``, ``digest``) names."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "t", SLICE_BYTES):
+            sets = [shingle_set(d, shingle, seed).view(np.int64) for d in byte_values(batch.column("t"))]
+            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.ListArray.from_arrays(pa.array(ends), flat)], ["node", "shingles"]
+            )
+
+    # equal texts go before the shuffle, so a text with a third of all rows is one row per task
+    single = docs.select(_digest(text_column).alias("digest"), F.col(text_column).cast("string").alias("t"))
+    named = single.dropDuplicates(["digest"]).join(wanted, "digest").select("node", "t")
+    return named.mapInArrow(run, "node bigint, shingles array<bigint>")
+
+
+def _digest(text_column: str) -> Column:
+    return F.unhex(text_digest(F.col(text_column)))
 
 
 def _columns(letter: str, n: int) -> list[str]:
@@ -283,63 +325,197 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
         .select("*", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("mine"))
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     )
-    return _linked(placed, [], radius)
+    return _linked(placed, radius)
 
 
-def long_links(distinct: DataFrame, radius: int = LONG_RADIUS, shard: int = LONG_SHARD) -> DataFrame:
-    """Links among distinct long fingerprints (``node``, words, shards): ``a``, ``b`` with a > b, both nodes.
+def long_links(
+    distinct: DataFrame,
+    radius: int = LONG_RADIUS,
+    shard: int = LONG_SHARD,
+    shared: DataFrame | None = None,
+    roots: DataFrame | None = None,
+    least: float = SIMILARITY,
+) -> DataFrame:
+    """Pairs of long fingerprints (``node``, ``n``, words, shards) to compare exactly: ``a``, ``b`` with a > b, both nodes.
+
+    All pairs of a shard no further apart than ``radius`` whose numbers of shingles
+    allow the similarity ``least``, but for those that ``roots`` (``fp``, ``root``)
+    says are in one component already. Only shards of two or more get the words,
+    so what is shuffled wide are texts that have something in common. A shard of
+    more than ``shard`` is cut into blocks and all pairs of blocks are compared, as in
+    ``links``: texts may share a shard for a passage that they have in common, and
+    near copies lie in any two blocks. Only blocks of a shard's largest component
+    are not compared with each other, so that a group of copies costs work in
+    proportion to its size.
+    """
+    shared = shared_shards(distinct) if shared is None else shared
+    rooted = shared.withColumn("root", F.col("node"))
+    if roots is not None:
+        rooted = shared.join(roots.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = materialize(rooted.select("node", "key", "root"), "rooted-shards")
+    held = rooted.groupBy("key", "root").agg(F.count("*").alias("held"))
+    largest = held.groupBy("key").agg(F.sum("held").alias("size"), F.max(F.struct("held", "root")).alias("top"))
+    blocks = lambda n: F.ceil(n / shard).cast("int")
+    several = largest.where(F.col("size") > F.col("top.held")).select(
+        "key",
+        F.col("top.root").alias("main"),
+        blocks(F.col("top.held")).alias("inner"),
+        blocks(F.col("size") - F.col("top.held")).alias("outer"),
+    )
+    several = materialize(several, "several-components")
+    inside, end = F.col("root") == F.col("main"), F.col("inner") + F.col("outer") - 1
+    mine = F.when(inside, F.pmod(F.xxhash64("node", "key"), F.col("inner"))).otherwise(
+        F.col("inner") + F.pmod(F.xxhash64("node", "key"), F.col("outer"))
+    )
+    others = F.sequence(F.when(inside, F.col("inner")).otherwise(0), end)
+    placed = (
+        rooted.join(several, "key")
+        .select("node", "key", "root", mine.cast("int").alias("mine"), F.explode(others).alias("other"))
+        .join(distinct.select("node", "n", *_columns("w", LONG_WORDS)), "node")
+    )
+    return _near(placed, radius, least).select("a", "b").distinct()
 
-    Only shards of two or more get the words, so what is shuffled wide are
-    texts that have something in common. A shard of more than ``shard`` is cut into
-    blocks and all pairs of blocks are compared, as in ``links``: texts may share a
-    shard for a passage that they have in common, and near copies lie in any two blocks.
+
+def nearest(distinct: DataFrame, shared: DataFrame, radius: int, shard: int, least: float) -> DataFrame:
+    """To each long fingerprint the nearest smaller one that blocks of its shards hold, if within ``radius``: ``a``, ``b``.
+
+    Blocks of a shard are compared with themselves and the first one. These pairs join
+    most of a large group in proportion to its size; ``long_links`` finds all others.
     """
-    words = _columns("w", LONG_WORDS)
-    keyed = distinct.select("node", F.explode(F.array(*_columns("s", TABLES))).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = materialize(keyed.join(sizes, "key").select("node", "key", "size"), "shared-shards")
     blocks = F.ceil(F.col("size") / shard).cast("int")
     mine = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
+    others = F.when(F.col("mine") > 0, F.array(F.col("mine"), F.lit(0))).otherwise(
+        F.sequence(F.lit(0), F.col("blocks") - 1)
+    )
     placed = (
         shared.select("node", "key", blocks.alias("blocks"))
         .select("*", mine.alias("mine"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .join(distinct.select("node", *words), "node")
+        .select("node", "key", F.col("node").alias("root"), "mine", F.explode(others).alias("other"))
+        .join(distinct.select("node", "n", *_columns("w", LONG_WORDS)), "node")
     )
-    return _linked(placed, words, radius)
+    best = _near(placed, radius, least, first=True).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
+    return best.select("a", "best.b")
+
 
+def shared_shards(distinct: DataFrame) -> DataFrame:
+    """``node``, ``key`` and ``size`` of every place of a node in a shard of two or more."""
+    keyed = distinct.select("node", F.explode(F.array(*_columns("s", TABLES))).alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    return materialize(keyed.join(sizes, "key").select("node", "key", "size"), "shared-shards")
 
-def _linked(placed: DataFrame, words: list[str], radius: int) -> DataFrame:
-    """Links found by comparing blocks: a row of ``placed`` takes its node to the pair of ``mine`` and ``other`` of a shard.
 
-    Without ``words`` a node is a fingerprint itself.
+def _near(placed: DataFrame, radius: int, least: float, first: bool = False) -> DataFrame:
+    """Pairs within the radius, of different roots and fit sizes, in pairs of blocks: ``a`` > ``b`` and ``apart``.
+
+    With ``first``, of the pairs of a shard's ``a`` the nearest only.
     """
-    given = ["node", *words, "key", "i", "j", "half"]
+    given = ["node", "n", "root", *_columns("w", LONG_WORDS), "key", "i", "j", "half"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts, ends in _whole_shards(batches, given):
+            values = np.stack(rows[3:-4], axis=1).view(np.uint64)
+            found, held = [], 0
+            for at, end in zip(starts.tolist(), ends.tolist(), strict=True):
+                if end - at < 2:
+                    continue
+                node, n, root = (x[at:end] for x in rows[:3])
+                for pairs in _near_in(node, n, root, values[at:end], rows[-1][at:end], radius, least, first):
+                    found.append(pairs)
+                    held += pairs.shape[1]
+                    if held > 50_000:
+                        yield _pair_batch(found)
+                        found, held = [], 0
+            if held:
+                yield _pair_batch(found)
+
+    return _by_pairs_of_blocks(placed, given).mapInArrow(run, "a bigint, b bigint, apart bigint")
+
+
+def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], ["a", "b", "apart"])
+
+
+def _near_in(node, n, root, values, half, radius: int, least: float, first: bool) -> Iterator[np.ndarray]:
+    """``_near`` in one pair of blocks: arrays of three rows, ``a``, ``b`` and ``apart``."""
+    tree, queries = np.flatnonzero(half != 1), np.flatnonzero(half != 0)
+    if not (len(tree) and len(queries)):
+        return
+    reach = radius + (SHORT_MORE if n.min() < SHORT else 0)
+    best = []
+    for x, y in BKTree(values, tree).within(reach, values, queries):
+        few, many = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
+        fit = (root[x] != root[y]) & (few >= least * many - 1e-6)
+        x, y, few = x[fit], y[fit], few[fit]
+        apart = _apart(values[x], values[y], values.shape[1]).astype(np.int64)
+        fit = apart <= radius + np.where(few < SHORT, SHORT_MORE, 0)
+        x, y = node[x[fit]], node[y[fit]]
+        pairs = np.stack([np.maximum(x, y), np.minimum(x, y), apart[fit]])
+        if not first:
+            yield pairs
+            continue
+        best.append(pairs)
+        if sum(p.shape[1] for p in best) > 200_000:
+            best = [_nearest_of(best)]
+    if best:
+        yield _nearest_of(best)
+
+
+def _nearest_of(found: list[np.ndarray]) -> np.ndarray:
+    pairs = np.concatenate(found, axis=1)
+    pairs = pairs[:, np.lexsort((pairs[1], pairs[2], pairs[0]))]
+    return pairs[:, np.diff(pairs[0], prepend=pairs[0, :1] - 1) != 0]
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The ``pairs`` (``a``, ``b``) whose sets of shingles (``node``, ``shingles``) have the Jaccard similarity ``least``, exactly."""
+    pairs = materialize(pairs, "pairs")  # a plain exchange on both sides of the joins lets Spark split a hub
+    for side in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")), side)
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    counted = pairs.select("a", "b", shared.alias("shared"), (F.size("set_a") + F.size("set_b")).alias("both"))
+    return materialize(counted.where(F.col("shared") / (F.col("both") - F.col("shared")) >= least).select("a", "b"), "links")
+
+
+def _by_pairs_of_blocks(placed: DataFrame, given: list[str]) -> DataFrame:
+    """The columns ``given``, dealt and sorted by shard: a row goes to the pair of ``mine`` and ``other`` of its ``key``."""
     paired = placed.select(
-        "node",
-        *words,
-        "key",
+        *given[:-3],
         F.least("mine", "other").alias("i"),
         F.greatest("mine", "other").alias("j"),
         F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1).alias("half"),
     )
+    n = max(1, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return paired.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _whole_shards(
+    batches: Iterable[pa.RecordBatch], given: list[str]
+) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """The columns ``given`` of whole pairs of blocks, and where each pair begins and ends."""
+    held: list[np.ndarray] = []  # of the pair that the last batch did not end
+    for batch in batches:
+        rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in given]
+        if held:
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+        if not len(rows[0]):
+            continue
+        key, i, j = rows[-4:-1]
+        new = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
+        starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+        yield rows, starts[:-1], starts[1:]
+        held = [x[starts[-1] :].copy() for x in rows]
+    if held:
+        yield held, np.array([0]), np.array([len(held[0])])
+
+
+def _linked(placed: DataFrame, radius: int) -> DataFrame:
+    """Links found by comparing blocks of fingerprints, which are their nodes."""
+    given = ["node", "key", "i", "j", "half"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Forest()
-        held: list[np.ndarray] = []  # of the shard that the last batch did not end
-        for batch in batches:
-            rows = [batch.column(n).to_numpy(zero_copy_only=False) for n in given]
-            if held:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            if not len(rows[0]):
-                continue
-            key, i, j = rows[-4:-1]
-            new = (np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)
-            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
-            _each(rows[0], _values(rows), rows[-1], starts, starts[1:], forest, radius)
-            held = [x[starts[-1] :].copy() for x in rows]
-        if held:
-            _each(held[0], _values(held), held[-1], np.array([0]), np.array([len(held[0])]), forest, radius)
+        for rows, starts, ends in _whole_shards(batches, given):
+            _each(rows[0], rows[0].view(np.uint64), rows[-1], starts, ends, forest, radius)
         found = forest.links()
         for at in range(0, len(found), 50_000):
             part = found[at : at + 50_000]
@@ -347,19 +523,7 @@ def _linked(placed: DataFrame, words: list[str], radius: int) -> DataFrame:
                 [pa.array([x for x, _ in part], pa.int64()), pa.array([y for _, y in part], pa.int64())], ["a", "b"]
             )
 
-    n = max(1, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (
-        paired.repartition(n, "key", "i", "j")
-        .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(run, "a bigint, b bigint")
-        .distinct()
-    )
-
-
-def _values(rows: list[np.ndarray]) -> np.ndarray:
-    """The fingerprints of rows of node, words if any, key, i, j and half."""
-    words = rows[1:-4]
-    return (np.stack(words, axis=1) if words else rows[0]).view(np.uint64)
+    return _by_pairs_of_blocks(placed, given).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _each(node, values, half, starts, ends, forest: Forest, radius: int) -> None:
@@ -461,27 +625,44 @@ def similar_documents(
     radius: int = LONG_RADIUS,
     shard: int = LONG_SHARD,
 ) -> DataFrame:
-    """One row per document: ``id_column``, ``component_id``, linked by long fingerprints.
+    """One row per document: ``id_column``, ``component_id``, linked by similarity.
+
+    Words are as in ``near_duplicates``. Texts link whose sets of five-word shingles
+    have a Jaccard similarity of ``SIMILARITY`` or more. Long fingerprints only find
+    whom to compare: of pairs at 0.8 some 99 % are compared, of more similar ones
+    nearly all; each is then decided on its two sets. Texts without words link
+    with each other. Null ids are as in ``near_duplicates``.
+    """
+    found = _similar(docs, id_column, text_column, shingle, seed, radius, shard)
+    return found.select(F.col("id").alias(id_column), "component_id")
+
+
+def _similar(docs: DataFrame, id_column: str, text_column: str, shingle: int, seed: int, radius: int, shard: int) -> DataFrame:
+    """``id``, ``digest`` of the text and ``component_id`` of every document.
 
-    Words are as in ``near_duplicates``. Texts of five-word shingles with a
-    Jaccard similarity of 0.8 or more link with a probability of about 97 %, those
-    below 0.7 hardly ever. Texts without words link with each other. Fingerprints
-    are named by a 64-bit hash of theirs. Null ids are as in ``near_duplicates``.
+    First each set is compared with its nearest in its shards, which joins most of
+    any large group; then all candidates that are not in one component yet.
     """
     words, names = _columns("w", LONG_WORDS), _columns("s", TABLES)
-    made = long_fingerprints(docs, id_column, text_column, shingle, seed)
-    marked = materialize(made.withColumn("node", F.xxhash64(*words)), "long-fingerprints")
+    marked = materialize(long_fingerprints(docs, id_column, text_column, shingle, seed), "long-fingerprints")
     distinct = materialize(
         marked.groupBy("node").agg(
             F.min("id").alias("least"),
-            *[F.first(c).alias(c) for c in words],  # the same in all rows of a node
-            *[F.min(c).alias(c) for c in names],
+            F.min("digest").alias("digest"),  # of any text with the set
+            *[F.min(c).alias(c) for c in ["n", *words, *names]],  # the same in all rows of a node
         ),
         "distinct-fingerprints",
     )
-    roots = components(long_links(distinct, radius, shard))
-    labels = _named(distinct.select(F.col("node").alias("fp"), "least"), roots)
-    return marked.join(labels.withColumnRenamed("fp", "node"), "node").select(F.col("id").alias(id_column), "component_id")
+    shared = shared_shards(distinct)
+    wanted = distinct.select("node", "digest").join(shared.select("node").distinct(), "node", "left_semi")
+    sets = materialize(shingle_sets(docs, wanted, text_column, shingle, seed), "shingle-sets")
+    near = confirmed(nearest(distinct, shared, radius, shard, SIMILARITY), sets)
+    roots = components(near)
+    rest = confirmed(long_links(distinct, radius, shard, shared, roots), sets)
+    if not rest.isEmpty():
+        roots = components(near.unionByName(rest))
+    labels = _named(distinct.select(F.col("node").alias("fp"), "least"), roots).withColumnRenamed("fp", "node")
+    return marked.join(labels, "node").select("id", "digest", "component_id")
 
 
 def representatives(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
