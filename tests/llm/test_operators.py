@@ -463,6 +463,14 @@ def test_one_document_of_each_component_stays(spark, awkward):
     assert ids == [1, 4, 5, 6, 7, 8, 8, 10, 11]
 
 
+def test_rows_stay_by_id_and_text(spark):
+    """Null ids and ids of several texts: a row goes only if its own text is a copy of a smaller id's."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(40))
+    rows = [(1, text("a")), (None, text("a") + " end"), (None, text("b")), (None, text("c")), (None, text("c") + " end"), (3, text("a") + " last"), (3, text("d")), (4, text("d") + " end")]
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert ordered(kept) == ordered(rows[i] for i in (0, 2, 3, 4, 6))
+
+
 # --- quality --------------------------------------------------------------------------------
 
 

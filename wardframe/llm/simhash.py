@@ -669,8 +669,13 @@ def representatives(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """The documents that name their component of ``similar_documents``, with all their columns.
 
     Rows without an id name a component only where no member has one; such a
-    component keeps all of them.
+    component keeps all of them. Verdicts go by row, that is by id and text: another
+    text under the same id, or also without one, has a verdict of its own.
     """
-    found = similar_documents(docs, id_column, text_column)
-    gone = found.where(~F.col(id_column).eqNullSafe(F.col("component_id"))).select(F.col(id_column).alias("__id"))
-    return docs.join(gone.distinct(), docs[id_column].eqNullSafe(gone["__id"]), "left_anti")
+    found = _similar(docs, id_column, text_column, LONG_SHINGLE, SEED, LONG_RADIUS, LONG_SHARD)
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(
+        F.col("id").alias("__id"), F.col("digest").alias("__gone")
+    )
+    keyed = docs.withColumn("__digest", _digest(text_column))
+    same = keyed[id_column].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__gone"))
+    return keyed.join(gone.distinct(), same, "left_anti").select(*docs.columns)
