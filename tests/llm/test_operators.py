@@ -609,6 +609,12 @@ def test_html_tree():
     assert html_text.main_text(page) == "\n\n".join(want)
 
 
+def test_html_values_of_other_attributes_are_no_attributes():
+    inner = "<p title='a hidden place'>One <a href=\"/hidden-gems\">two</a> <a href=/p?id=search>three</a></p><p data-note='hidden' data-class=ad>four</p>"
+    gone = "<p hidden>x</p><p class=\"big ad\">x</p><p id=sidebar>x</p><p style='display:none'>x</p><p title=y aria-hidden=true>x</p>"
+    assert html_text.main_text(f"<article><p>{LONG}</p>{inner}{gone}</article>").split("\n\n") == [LONG.strip(), "One two three", "four"]
+
+
 def test_html_awkward(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<p>a<p"), (5, "u", "<script>x"), (6, "u", "<!-- "), (None, "u", "<b>1 < 2"), (7, "u", "<div>" * 3000 + "deep")]
     got = html_text.extract(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string"))

@@ -54,7 +54,9 @@ _TOKEN = re.compile(
     re.S,
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# one attribute after the other, from left to right, so that a value is never read as a name
+_ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>=][^\s/>=]*)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
+_TESTED = frozenset("class id role hidden aria-hidden style".split())
 _SPACE = re.compile(r"[\s\x00]+")
 
 
@@ -75,6 +77,8 @@ def _is_junk(name: str, tag: str) -> bool:
         return False
     for key, value in _ATTRIBUTE.findall(tag[len(name) + 1 :]):
         key, value = key.lower(), value.strip("\"'").lower()
+        if key not in _TESTED:
+            continue
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True
         if key == "style":
