@@ -615,6 +615,17 @@ def test_html_values_of_other_attributes_are_no_attributes():
     assert html_text.main_text(f"<article><p>{LONG}</p>{inner}{gone}</article>").split("\n\n") == [LONG.strip(), "One two three", "four"]
 
 
+def test_html_keeps_all_parts_beside_the_best():
+    def got(body):
+        return html_text.main_text(f"<html><body>{body}</body></html>").split("\n\n")
+
+    long, links = f"<div><p>{LONG}<p>{LONG}</div>", "<ul><li><a href=x>Home</a><li><a href=y>News</a></ul>"
+    both = [LONG.strip()] * 2
+    assert got(f"{links}{long}<div><p>short closing paragraph</p></div><ul><li>a<li>b</ul>") == [*both, "short closing paragraph", "a", "b"]
+    assert got(f"<h4>Head</h4>{long}loose<section><h5>Sub</h5><p>x</section><table><tr><td>1</table>{links}") == ["Head", *both, "loose", "Sub", "x", "1"]
+    assert got(f"<div><h2>T</h2></div><div>{long}<div>in</div></div><div><div>other wrapper</div></div>") == ["T", *both, "in", "other wrapper"]
+
+
 def test_html_awkward(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<p>a<p"), (5, "u", "<script>x"), (6, "u", "<!-- "), (None, "u", "<b>1 < 2"), (7, "u", "<div>" * 3000 + "deep")]
     got = html_text.extract(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string"))

@@ -2,8 +2,8 @@
 
 Blocks of text pass points for their length and commas to their ancestors,
 fewer with each level, discounted by the share of their text in links. The
-container with most points is the article, together with siblings that score
-alike or read like its text.
+container with most points is the article, together with all beside it and its
+ancestors that is not mostly links.
 """
 
 from __future__ import annotations
@@ -260,21 +260,38 @@ def main_text(source: str | None) -> str:
         above = above.parent
     if best.parent is None or best.name in ("body", "html"):
         return "\n\n".join(_blocks(best))
-    parts: list[str] = []
-    for child in best.parent.children:
-        if child is best:
-            parts += _blocks(best)
-        elif best.name in ("article", "main"):
-            if not isinstance(child, str) and child.name == best.name and child.score >= 0.2 * best.score:
+    if best.name in ("article", "main"):
+        parts: list[str] = []
+        for child in best.parent.children:
+            if child is best or (
+                not isinstance(child, str) and child.name == best.name and child.score >= 0.2 * best.score
+            ):
                 parts += _blocks(child)
-        elif isinstance(child, str):
-            if len(child) > 80:
-                parts.append(child)
-        elif (child.score >= max(3.0, 0.2 * best.score) and _density(child) < 0.5) or (
-            child.name in ("p", "h1", "h2", "h3", "pre", "blockquote") and _density(child) < 0.25
-        ):
-            parts += _blocks(child)
-    return "\n\n".join(parts)
+        return "\n\n".join(parts)
+    return "\n\n".join(_around(best))
+
+
+def _around(best: Node) -> list[str]:
+    """The blocks of ``best`` and of all beside it and its ancestors that is not mostly links, in page order."""
+    before: list[list[str]] = []
+    after: list[str] = []
+    node = best
+    while node.parent is not None:
+        beside = node.parent.children
+        inner = [c for c in beside if not isinstance(c, str)]
+        text, links = (getattr(node.parent, n) - sum(getattr(c, n) for c in inner) for n in ("text", "links"))
+        parts: list[str] = []
+        for child in beside:
+            if child is node:
+                before.append(parts)
+                parts = after
+            elif isinstance(child, str):
+                if links < 0.5 * text:
+                    parts.append(child)
+            elif _density(child) < 0.5:
+                parts += _blocks(child)
+        node = node.parent
+    return [b for parts in reversed(before) for b in parts] + _blocks(best) + after
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
