@@ -6,11 +6,6 @@ again. So each distinct fingerprint goes to 16 shards, named by the 28 bits it
 must share, and every linked pair meets in one of them. A shard's fingerprints
 form a BK-tree (children keyed by their distance to the parent); each asks the
 tree for what lies within the radius, following only the edges that can lead there.
-
-Three bits are few: texts that share 80 % of their shingles differ in a dozen
-of 64. ``similar_documents`` takes fingerprints of 512 bits, which estimate the
-share well, and shards named by least shingle hashes, which similar texts have
-in common whatever bits of their fingerprints differ.
 """
 
 from __future__ import annotations
@@ -19,7 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardframe.llm.digests import text_digest
@@ -32,24 +27,7 @@ SLICE_BYTES = 4 << 20
 #: shard is cut into blocks, and each pair of blocks is a shard of its own.
 SHARD = 4_000
 #: A subtree of so few fingerprints is not divided any further.
-LEAF = 24
-
-#: Of near-dedup by similarity: the least Jaccard similarity of linked sets of shingles.
-SIMILARITY = 0.8
-#: Of long fingerprints: words of a shingle, words of 64 bits, and the bits that those compared
-#: exactly differ in at most. Sets with a Jaccard similarity of 0.8 make an angle of 0.476, so they
-#: differ in 77.6 of 512 bits, give or take 8.1; the radius is three such deviations above.
-LONG_SHINGLE, LONG_WORDS, LONG_RADIUS = 5, 8, 102
-#: Sets of fewer shingles than this may differ in more bits: of four in five of them 96, give or take 8.8.
-SHORT, SHORT_MORE = 10, 20
-#: Shards of each long fingerprint, and least hashes that name a shard together: texts of
-#: similarity 0.8 share one with a probability of 1 - (1 - 0.8^3)^8 = 99.7 %.
-TABLES, TABLE_HASHES = 8, 3
-#: Long fingerprints that one task compares with each other.
-LONG_SHARD = 1_000
-#: Shingle hashes of a text from which repetitions are taken out at a time, or as many as it has distinct ones.
-SET_PART = 1 << 20
-_GOLDEN = 0x9E3779B97F4A7C15
+LEAF = 4
 
 
 def _hashes(data: bytes | None, shingle: int, seed: int) -> Iterator[np.ndarray]:
@@ -85,50 +63,6 @@ def fingerprint(data: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
-def _mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
-    """Other hashes of the same shingles: one bijection of 64 bits for each turn."""
-    h = hashes + np.uint64(turn * _GOLDEN & 0xFFFFFFFFFFFFFFFF)
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def shingle_set(data: bytes | None, shingle: int = LONG_SHINGLE, seed: int = SEED) -> np.ndarray:
-    """The XXH64 of a text's distinct shingles, sorted; of repetitions it holds one part at a time."""
-    found, parts, held = np.zeros(0, dtype=np.uint64), [], 0
-    for hashes in _hashes(data, shingle, seed):
-        parts.append(hashes)
-        held += len(hashes)
-        if held > max(SET_PART, len(found)):
-            found, parts, held = np.unique(np.concatenate([found, *parts])), [], 0
-    return np.unique(np.concatenate([found, *parts])) if parts else found
-
-
-def long_fingerprint(data: bytes | None, shingle: int = LONG_SHINGLE, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """The SimHash of a text's set of shingles in ``LONG_WORDS`` words, and the names of its ``TABLES`` shards."""
-    return set_fingerprint(shingle_set(data, shingle, seed))
-
-
-def set_fingerprint(every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The long fingerprint of a set of shingle hashes, and the names of its shards.
-
-    Each distinct shingle counts once, as in the similarity that it estimates: a
-    line that one of two copies repeats leaves their fingerprints alike.
-    """
-    ones = np.zeros((LONG_WORDS, 64), dtype=np.int64)
-    least = np.full((TABLES, TABLE_HASHES), 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    for at in range(0, len(every), 1 << 16):
-        hashes = every[at : at + (1 << 16)]
-        for i in range(LONG_WORDS):
-            ones[i] += _ones(_mixed(hashes, i + 1))
-        for t, k in np.ndindex(least.shape):
-            turn = (LONG_WORDS + 1 + t * TABLE_HASHES + k) * _GOLDEN & 0xFFFFFFFFFFFFFFFF | 1
-            least[t, k] = min(least[t, k], (hashes * np.uint64(turn)).min())
-    words = np.packbits(2 * ones > len(every), axis=1, bitorder="little").view("<u8")[:, 0]
-    names = np.arange(TABLES, dtype=np.uint64)
-    for k in range(TABLE_HASHES):
-        names = _mixed(names ^ least[:, k], k + 1)
-    return words, names
 
 
 def fingerprints(
@@ -145,66 +79,8 @@ def fingerprints(
     return keyed.mapInArrow(run, f"id {keyed.schema['k'].dataType.simpleString()}, fp bigint")
 
 
-def long_fingerprints(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = LONG_SHINGLE, seed: int = SEED
-) -> DataFrame:
-    """Of every whole text ``id``, ``digest``, ``node``, ``n``, the words ``w0``, ``w1``, ... and the shards ``s0``, ``s1``, ...
-
-    ``digest`` names the text, ``node`` (a hash) its set of ``n`` shingles.
-    """
-    import xxhash
-
-    names = ["node", "n", *_columns("w", LONG_WORDS), *_columns("s", TABLES)]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "t", SLICE_BYTES):
-            found = np.zeros((batch.num_rows, len(names)), dtype=np.uint64)
-            for i, data in enumerate(byte_values(batch.column("t"))):
-                every = shingle_set(data, shingle, seed)
-                found[i, :2] = xxhash.xxh64_intdigest(every.tobytes(), seed), len(every)
-                found[i, 2:] = np.concatenate(set_fingerprint(every))
-            columns = [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in found.T]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("k"), batch.column("digest"), *columns], ["id", "digest", *names]
-            )
-
-    keyed = docs.select(
-        F.col(id_column).alias("k"), _digest(text_column).alias("digest"), F.col(text_column).cast("string").alias("t")
-    )
-    kind = keyed.schema["k"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"id {kind}, digest binary, " + ", ".join(f"{n} bigint" for n in names))
-
-
-def shingle_sets(docs: DataFrame, wanted: DataFrame, text_column: str, shingle: int, seed: int) -> DataFrame:
-    """``node`` and ``shingles``, the sorted set of hashes, of the texts that ``wanted`` (``node``, ``digest``) names."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "t", SLICE_BYTES):
-            sets = [shingle_set(d, shingle, seed).view(np.int64) for d in byte_values(batch.column("t"))]
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *sets]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.ListArray.from_arrays(pa.array(ends), flat)], ["node", "shingles"]
-            )
-
-    # equal texts go before the shuffle, so a text with a third of all rows is one row per task
-    single = docs.select(_digest(text_column).alias("digest"), F.col(text_column).cast("string").alias("t"))
-    named = single.dropDuplicates(["digest"]).join(wanted, "digest").select("node", "t")
-    return named.mapInArrow(run, "node bigint, shingles array<bigint>")
-
-
-def _digest(text_column: str) -> Column:
-    return F.unhex(text_digest(F.col(text_column)))
 
 
-def _columns(letter: str, n: int) -> list[str]:
-    return [f"{letter}{i}" for i in range(n)]
-
-
-def _apart(a: np.ndarray, b: np.ndarray, words: int) -> np.ndarray:
-    """Bits in which fingerprints differ; those of several words have the words along the last axis."""
-    bits = np.bitwise_count(a ^ b)
-    return bits if words == 1 else bits.sum(axis=-1, dtype=np.int16)
 
 
 class BKTree:
@@ -215,10 +91,9 @@ class BKTree:
         self.root = None
         self.leaf = places
         self.values = values
-        self.words = 1 if values.ndim == 1 else values.shape[1]
         if len(places) > LEAF:
             self.root, rest = places[0], places[1:]
-            apart = _apart(values[rest], values[self.root], self.words)
+            apart = np.bitwise_count(values[rest] ^ values[self.root])
             order = np.argsort(apart, kind="stable")
             cuts = np.flatnonzero(np.diff(apart[order])) + 1
             self.children = {
@@ -230,11 +105,11 @@ class BKTree:
         if not len(places):
             return
         if self.root is None:
-            apart = _apart(queries[places][:, None], self.values[self.leaf][None, :], self.words)
+            apart = np.bitwise_count(queries[places][:, None] ^ self.values[self.leaf][None, :])
             a, b = np.nonzero(apart <= radius)
             yield places[a], self.leaf[b]
             return
-        apart = _apart(queries[places], self.values[self.root], self.words).astype(np.int16)
+        apart = np.bitwise_count(queries[places] ^ self.values[self.root]).astype(np.int16)
         near = places[apart <= radius]
         yield near, np.full(len(near), self.root)
         for edge, child in self.children.items():
@@ -328,152 +203,6 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) -> Data
     return _linked(placed, radius)
 
 
-def long_links(
-    distinct: DataFrame,
-    radius: int = LONG_RADIUS,
-    shard: int = LONG_SHARD,
-    shared: DataFrame | None = None,
-    roots: DataFrame | None = None,
-    least: float = SIMILARITY,
-) -> DataFrame:
-    """Pairs of long fingerprints (``node``, ``n``, words, shards) to compare exactly: ``a``, ``b`` with a > b, both nodes.
-
-    All pairs of a shard no further apart than ``radius`` whose numbers of shingles
-    allow the similarity ``least``, but for those that ``roots`` (``fp``, ``root``)
-    says are in one component already. Only shards of two or more get the words,
-    so what is shuffled wide are texts that have something in common. A shard of
-    more than ``shard`` is cut into blocks and all pairs of blocks are compared, as in
-    ``links``: texts may share a shard for a passage that they have in common, and
-    near copies lie in any two blocks. Only blocks of a shard's largest component
-    are not compared with each other, so that a group of copies costs work in
-    proportion to its size.
-    """
-    shared = shared_shards(distinct) if shared is None else shared
-    rooted = shared.withColumn("root", F.col("node"))
-    if roots is not None:
-        rooted = shared.join(roots.withColumnRenamed("fp", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = materialize(rooted.select("node", "key", "root"), "rooted-shards")
-    held = rooted.groupBy("key", "root").agg(F.count("*").alias("held"))
-    largest = held.groupBy("key").agg(F.sum("held").alias("size"), F.max(F.struct("held", "root")).alias("top"))
-    blocks = lambda n: F.ceil(n / shard).cast("int")
-    several = largest.where(F.col("size") > F.col("top.held")).select(
-        "key",
-        F.col("top.root").alias("main"),
-        blocks(F.col("top.held")).alias("inner"),
-        blocks(F.col("size") - F.col("top.held")).alias("outer"),
-    )
-    several = materialize(several, "several-components")
-    inside, end = F.col("root") == F.col("main"), F.col("inner") + F.col("outer") - 1
-    mine = F.when(inside, F.pmod(F.xxhash64("node", "key"), F.col("inner"))).otherwise(
-        F.col("inner") + F.pmod(F.xxhash64("node", "key"), F.col("outer"))
-    )
-    others = F.sequence(F.when(inside, F.col("inner")).otherwise(0), end)
-    placed = (
-        rooted.join(several, "key")
-        .select("node", "key", "root", mine.cast("int").alias("mine"), F.explode(others).alias("other"))
-        .join(distinct.select("node", "n", *_columns("w", LONG_WORDS)), "node")
-    )
-    return _near(placed, radius, least).select("a", "b").distinct()
-
-
-def nearest(distinct: DataFrame, shared: DataFrame, radius: int, shard: int, least: float) -> DataFrame:
-    """To each long fingerprint the nearest smaller one that blocks of its shards hold, if within ``radius``: ``a``, ``b``.
-
-    Blocks of a shard are compared with themselves and the first one. These pairs join
-    most of a large group in proportion to its size; ``long_links`` finds all others.
-    """
-    blocks = F.ceil(F.col("size") / shard).cast("int")
-    mine = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    others = F.when(F.col("mine") > 0, F.array(F.col("mine"), F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("blocks") - 1)
-    )
-    placed = (
-        shared.select("node", "key", blocks.alias("blocks"))
-        .select("*", mine.alias("mine"))
-        .select("node", "key", F.col("node").alias("root"), "mine", F.explode(others).alias("other"))
-        .join(distinct.select("node", "n", *_columns("w", LONG_WORDS)), "node")
-    )
-    best = _near(placed, radius, least, first=True).groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best"))
-    return best.select("a", "best.b")
-
-
-def shared_shards(distinct: DataFrame) -> DataFrame:
-    """``node``, ``key`` and ``size`` of every place of a node in a shard of two or more."""
-    keyed = distinct.select("node", F.explode(F.array(*_columns("s", TABLES))).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    return materialize(keyed.join(sizes, "key").select("node", "key", "size"), "shared-shards")
-
-
-def _near(placed: DataFrame, radius: int, least: float, first: bool = False) -> DataFrame:
-    """Pairs within the radius, of different roots and fit sizes, in pairs of blocks: ``a`` > ``b`` and ``apart``.
-
-    With ``first``, of the pairs of a shard's ``a`` the nearest only.
-    """
-    given = ["node", "n", "root", *_columns("w", LONG_WORDS), "key", "i", "j", "half"]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts, ends in _whole_shards(batches, given):
-            values = np.stack(rows[3:-4], axis=1).view(np.uint64)
-            found, held = [], 0
-            for at, end in zip(starts.tolist(), ends.tolist(), strict=True):
-                if end - at < 2:
-                    continue
-                node, n, root = (x[at:end] for x in rows[:3])
-                for pairs in _near_in(node, n, root, values[at:end], rows[-1][at:end], radius, least, first):
-                    found.append(pairs)
-                    held += pairs.shape[1]
-                    if held > 50_000:
-                        yield _pair_batch(found)
-                        found, held = [], 0
-            if held:
-                yield _pair_batch(found)
-
-    return _by_pairs_of_blocks(placed, given).mapInArrow(run, "a bigint, b bigint, apart bigint")
-
-
-def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(found, axis=1)], ["a", "b", "apart"])
-
-
-def _near_in(node, n, root, values, half, radius: int, least: float, first: bool) -> Iterator[np.ndarray]:
-    """``_near`` in one pair of blocks: arrays of three rows, ``a``, ``b`` and ``apart``."""
-    tree, queries = np.flatnonzero(half != 1), np.flatnonzero(half != 0)
-    if not (len(tree) and len(queries)):
-        return
-    reach = radius + (SHORT_MORE if n.min() < SHORT else 0)
-    best = []
-    for x, y in BKTree(values, tree).within(reach, values, queries):
-        few, many = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-        fit = (root[x] != root[y]) & (few >= least * many - 1e-6)
-        x, y, few = x[fit], y[fit], few[fit]
-        apart = _apart(values[x], values[y], values.shape[1]).astype(np.int64)
-        fit = apart <= radius + np.where(few < SHORT, SHORT_MORE, 0)
-        x, y = node[x[fit]], node[y[fit]]
-        pairs = np.stack([np.maximum(x, y), np.minimum(x, y), apart[fit]])
-        if not first:
-            yield pairs
-            continue
-        best.append(pairs)
-        if sum(p.shape[1] for p in best) > 200_000:
-            best = [_nearest_of(best)]
-    if best:
-        yield _nearest_of(best)
-
-
-def _nearest_of(found: list[np.ndarray]) -> np.ndarray:
-    pairs = np.concatenate(found, axis=1)
-    pairs = pairs[:, np.lexsort((pairs[1], pairs[2], pairs[0]))]
-    return pairs[:, np.diff(pairs[0], prepend=pairs[0, :1] - 1) != 0]
-
-
-def confirmed(pairs: DataFrame, sets: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """The ``pairs`` (``a``, ``b``) whose sets of shingles (``node``, ``shingles``) have the Jaccard similarity ``least``, exactly."""
-    pairs = materialize(pairs, "pairs")  # a plain exchange on both sides of the joins lets Spark split a hub
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")), side)
-    shared = F.size(F.array_intersect("set_a", "set_b"))
-    counted = pairs.select("a", "b", shared.alias("shared"), (F.size("set_a") + F.size("set_b")).alias("both"))
-    return materialize(counted.where(F.col("shared") / (F.col("both") - F.col("shared")) >= least).select("a", "b"), "links")
 
 
 def _by_pairs_of_blocks(placed: DataFrame, given: list[str]) -> DataFrame:
@@ -527,20 +256,11 @@ def _linked(placed: DataFrame, radius: int) -> DataFrame:
 
 
 def _each(node, values, half, starts, ends, forest: Forest, radius: int) -> None:
-    """Compare the shards from ``starts`` to ``ends``; small ones without a tree of their own."""
-    words = 1 if values.ndim == 1 else values.shape[1]
-    sizes = ends - starts[: len(ends)]
-    for size in range(2, min(LEAF, int(sizes.max(initial=0))) + 1):
-        of = starts[: len(ends)][sizes == size]
-        for x in range(size):
-            for y in range(x + 1, size):
-                apart = _apart(values[of + x], values[of + y], words)
-                for at in of[apart <= radius].tolist():
-                    forest.join(int(node[at + x]), int(node[at + y]))
-    for at, end in zip(starts[: len(ends)][sizes > LEAF].tolist(), ends[sizes > LEAF].tolist(), strict=True):
-        for x, y in zip(
-            *(side.tolist() for side in _shard_links(node[at:end], values[at:end], half[at:end], radius)), strict=True
-        ):
+    """Search the shards from ``starts`` to ``ends`` that have more than one fingerprint, each by its tree."""
+    several = ends - starts > 1
+    for at, end in zip(starts[several].tolist(), ends[several].tolist(), strict=True):
+        a, b = _shard_links(node[at:end], values[at:end], half[at:end], radius)
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
             forest.join(x, y)
 
 
@@ -616,66 +336,26 @@ def _named(distinct: DataFrame, roots: DataFrame) -> DataFrame:
     return materialize(rooted.join(named, "root").select("fp", "component_id"), "components")
 
 
-def similar_documents(
+def representatives(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    shingle: int = LONG_SHINGLE,
+    shingle: int = SHINGLE,
     seed: int = SEED,
-    radius: int = LONG_RADIUS,
-    shard: int = LONG_SHARD,
+    radius: int = RADIUS,
 ) -> DataFrame:
-    """One row per document: ``id_column``, ``component_id``, linked by similarity.
-
-    Words are as in ``near_duplicates``. Texts link whose sets of five-word shingles
-    have a Jaccard similarity of ``SIMILARITY`` or more. Long fingerprints only find
-    whom to compare: of pairs at 0.8 some 99 % are compared, of more similar ones
-    nearly all; each is then decided on its two sets. Texts without words link
-    with each other. Null ids are as in ``near_duplicates``.
-    """
-    found = _similar(docs, id_column, text_column, shingle, seed, radius, shard)
-    return found.select(F.col("id").alias(id_column), "component_id")
-
-
-def _similar(docs: DataFrame, id_column: str, text_column: str, shingle: int, seed: int, radius: int, shard: int) -> DataFrame:
-    """``id``, ``digest`` of the text and ``component_id`` of every document.
+    """One document of each component of ``near_duplicates``, with all its columns: the one that names it.
 
-    First each set is compared with its nearest in its shards, which joins most of
-    any large group; then all candidates that are not in one component yet.
+    Rows without an id name a component only where no member has one; then the
+    one whose text has the smallest digest stays. Verdicts go by row, that is by
+    id and text: another text under the same id, or also without one, has a
+    verdict of its own. Repeated rows of what stays all stay.
     """
-    words, names = _columns("w", LONG_WORDS), _columns("s", TABLES)
-    marked = materialize(long_fingerprints(docs, id_column, text_column, shingle, seed), "long-fingerprints")
-    distinct = materialize(
-        marked.groupBy("node").agg(
-            F.min("id").alias("least"),
-            F.min("digest").alias("digest"),  # of any text with the set
-            *[F.min(c).alias(c) for c in ["n", *words, *names]],  # the same in all rows of a node
-        ),
-        "distinct-fingerprints",
-    )
-    shared = shared_shards(distinct)
-    wanted = distinct.select("node", "digest").join(shared.select("node").distinct(), "node", "left_semi")
-    sets = materialize(shingle_sets(docs, wanted, text_column, shingle, seed), "shingle-sets")
-    near = confirmed(nearest(distinct, shared, radius, shard, SIMILARITY), sets)
-    roots = components(near)
-    rest = confirmed(long_links(distinct, radius, shard, shared, roots), sets)
-    if not rest.isEmpty():
-        roots = components(near.unionByName(rest))
-    labels = _named(distinct.select(F.col("node").alias("fp"), "least"), roots).withColumnRenamed("fp", "node")
-    return marked.join(labels, "node").select("id", "digest", "component_id")
-
-
-def representatives(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that name their component of ``similar_documents``, with all their columns.
-
-    Rows without an id name a component only where no member has one; such a
-    component keeps all of them. Verdicts go by row, that is by id and text: another
-    text under the same id, or also without one, has a verdict of its own.
-    """
-    found = _similar(docs, id_column, text_column, LONG_SHINGLE, SEED, LONG_RADIUS, LONG_SHARD)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select(
-        F.col("id").alias("__id"), F.col("digest").alias("__gone")
-    )
-    keyed = docs.withColumn("__digest", _digest(text_column))
-    same = keyed[id_column].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__gone"))
+    digest = F.unhex(text_digest(F.col(text_column)))
+    keyed = docs.withColumn("__row", F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), digest.alias("digest")))
+    marked = materialize(fingerprints(keyed, "__row", text_column, shingle, seed), "fingerprints")
+    distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
+    labels = _named(distinct, components(links(distinct.select("fp"), radius)))
+    gone = marked.join(labels, "fp").where(F.col("id") != F.col("component_id")).select(F.col("id").alias("__gone"))
+    same = [keyed["__row"][c].eqNullSafe(F.col("__gone")[c]) for c in ("none", "id", "digest")]
     return keyed.join(gone.distinct(), same, "left_anti").select(*docs.columns)
