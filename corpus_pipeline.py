@@ -23,7 +23,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates the document with the smallest id stays."""
+    """Of each component of SimHash near-duplicates the document with the smallest id stays."""
     return simhash.representatives(docs)
 
 
