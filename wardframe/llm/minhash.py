@@ -34,6 +34,8 @@ LEAST_AGREED = 93
 #: Documents of a bucket, or members of a star, that one task compares; shingles of those compared exactly.
 BLOCK, STAR, BLOCK_SHINGLES = 4_000, 2_000, 1 << 20
 SLICE_BYTES = 4 << 20
+#: Bits of filter for each text to read again, bits set in its block of 64, and blocks at most (32 MB).
+TEXT_BITS, SET_BITS, MOST_BLOCKS = 24, 5, 4 << 20
 #: Word hashes that a task remembers, and hashes of a text from which repetitions are taken out at a time.
 REMEMBERED, SET_PART = 500_000, 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -149,24 +151,62 @@ def _buckets(distinct: DataFrame) -> DataFrame:
     return materialize(keyed.join(hubs, "key"), "shared-buckets")
 
 
+def _row_key(key: Column, th: Column) -> Column:
+    return F.xxhash64(th, key.cast("string"))
+
+
+def _filter_places(rows: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    mixed = _mixed(rows.view(np.uint64))
+    bits = np.zeros(len(mixed), dtype=np.uint64)
+    for i in range(SET_BITS):
+        bits |= np.uint64(1) << ((mixed >> np.uint64(6 * i)) & np.uint64(63))
+    return (((mixed >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64), bits
+
+
+def _row_filter(wanted: DataFrame) -> np.ndarray:
+    """A blocked Bloom filter of the rows that ``wanted`` names, ``MOST_BLOCKS`` blocks at most."""
+    blocks = int(min(MOST_BLOCKS, max(1, wanted.count() * TEXT_BITS // 64)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block, bits = _filter_places(batch.column("row").to_numpy(), blocks)
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(bits.view(np.int64))], ["block", "bits"])
+
+    rows = wanted.select(_row_key(F.col("id"), F.col("th")).alias("row")).mapInArrow(run, "block bigint, bits bigint")
+    found = rows.groupBy("block").agg(F.bit_or("bits").alias("bits")).toArrow()
+    held = np.zeros(blocks, dtype=np.uint64)
+    held[found.column("block").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return held
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The columns of ``wanted`` (with ``id``, ``th``) and ``shingles`` of the texts that they name."""
+    """The columns of ``wanted`` (with ``id``, ``th``) and ``shingles`` of the texts that they name.
+
+    Texts stay where they are read: a filter of bounded size passes the wanted ones, and a
+    few others, and only their sets are shuffled to the exact join.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_row_filter(wanted))  # MOST_BLOCKS blocks at most
     text = F.col(text_column).cast("string")
-    rows = docs.select(F.col(id_column).alias("id"), _text_key(text).alias("th"), text.alias("t"))
-    rows = rows.join(wanted.withColumnRenamed("id", "__id"), "th").where(F.col("id").eqNullSafe(F.col("__id")))
-    kept = [c for c in wanted.columns if c not in ("id", "th")]
+    rows = docs.select(F.col(id_column).alias("__id"), _text_key(text).alias("th"), text.alias("t"))
+    rows = rows.select("__id", "th", _row_key(F.col("__id"), F.col("th")).alias("row"), "t")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
-        for batch in slices(batches, "t", SLICE_BYTES):
-            found = [shingle_set(d, hashes).view(np.int64) for d in byte_values(batch.column("t"))]
-            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *found]))
-            arrays = pa.ListArray.from_arrays(pa.array(ends), flat)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), arrays], [*kept, "shingles"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.schema.fields if f.name in kept)
-    return rows.select(*kept, "t").mapInArrow(run, f"{kinds}, shingles array<bigint>")
+        held, hashes = shared.value, _WordHashes()
+        for batch in batches:
+            block, bits = _filter_places(batch.column("row").to_numpy(), len(held))
+            passed = batch.filter(pa.array(held[block] & bits == bits))
+            for part in slices([passed], "t", SLICE_BYTES):
+                found = [shingle_set(d, hashes).view(np.int64) for d in byte_values(part.column("t"))]
+                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                flat = pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *found]))
+                arrays = pa.ListArray.from_arrays(pa.array(ends), flat)
+                yield pa.RecordBatch.from_arrays([part.column("__id"), part.column("th"), arrays], ["__id", "th", "shingles"])
+
+    kind = rows.schema["__id"].dataType.simpleString()
+    sets = rows.mapInArrow(run, f"__id {kind}, th bigint, shingles array<bigint>")
+    same = (sets["th"] == wanted["th"]) & sets["__id"].eqNullSafe(wanted["id"])
+    kept = [c for c in wanted.columns if c not in ("id", "th")]
+    return sets.join(wanted.hint("merge"), same).select(*(wanted[c] for c in kept), "shingles")
 
 
 def linked(shared: int, a: int, b: int) -> bool:
