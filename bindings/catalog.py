@@ -28,12 +28,15 @@ from wardframe.functions.measures import class_above, class_at_least
 from wardframe.operators import fitting, labelling, metrics, prepare
 from wardframe.operators import interventions as what_if
 from wardframe.operators.classify import group_flags, split_codes
+from wardframe.operators.code_rules import rule_flags
 from wardframe.operators.correlation import correlation_long as correlations
 from wardframe.operators.keys import first_per_key, first_rows
-from wardframe.operators.label_many import label_many
+from wardframe.operators.label_many import label_into, label_many
 from wardframe.operators.label_many import label_new as append_new_labels
+from wardframe.operators.label_waves import label_in_waves
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.operators.notes import ecg_by_patient, radiology_by_admission, report_texts
+from wardframe.operators.ranks import ordered_slice
 from wardframe.operators.scoring import (
     ALL_CONCEPTS,
     CONCEPTS,
@@ -51,6 +54,7 @@ from wardframe.plans import cohort_features as features
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
 from wardframe.plans.concept_study import BASE, CONTEXT, ConceptStudy
 from wardframe.session import shared_folder
+from wardframe.sources.label_table import LabelTable
 from wardframe.sources.readers import read_modelling_csv, read_notes_csv, read_parquet
 from wardframe.sources.sinks import append_labels, write_csv
 
@@ -90,6 +94,12 @@ def code_classifier(spark, sf_dir):
     return group_flags(split_codes(t.diagnoses(spark, sf_dir)))
 
 
+@query
+def code_classifier_rules(spark, sf_dir):
+    """The same groups, and overlapping ones, from a table of rules."""
+    return rule_flags(t.diagnoses(spark, sf_dir), t.code_rules(spark))
+
+
 @query
 def comorbidity_bands(spark, sf_dir):
     return features.comorbidities(t.cohort(spark, sf_dir), t.diagnoses(spark, sf_dir)).drop("stay_id", "subject_id", LABEL)
@@ -308,6 +318,26 @@ def label_new(spark, sf_dir):
     return read_parquet(spark, path).select(KEY, "concept", "text_length", "detected", "explanation")
 
 
+@query
+def label_waves(spark, sf_dir):
+    """The callable's labels from as few calls as the waves allow, and their number."""
+    concept = "ards_detected"
+    return label_in_waves(_texts(spark, sf_dir), KEY, "discharge_text", concept, _keyword_labeller(concept))
+
+
+@query
+def label_table_new(spark, sf_dir):
+    """Three appends to a bucketed label table, then everything that it does not hold yet."""
+    texts = _texts(spark, sf_dir)
+    table = _label_table(spark, "labels-bucketed")
+    covered = t.table(spark, sf_dir, "labels").select(F.col("doc_id").alias(KEY))
+    label_into(texts.join(covered, KEY, "left_semi"), KEY, MANY[:1], _many_labeller, table, "covered")
+    label_into(texts.where(F.col(KEY) % 3 == 0), KEY, MANY[1:2], _many_labeller, table, "third")
+    label_into(texts.where(F.col(KEY) % 2 == 0), KEY, MANY[2:], _many_labeller, table, "half")
+    label_into(texts, KEY, MANY, _many_labeller, table, "rest")
+    return table.rows()
+
+
 @query
 def label_cascade_callable(spark, sf_dir):
     """The second text is put to the labeller only where the first said no."""
@@ -354,6 +384,13 @@ def label_batch(spark, sf_dir):
     return first_rows(lengths, [KEY], rows=100, start=50)
 
 
+@query
+def label_batch_deep(spark, sf_dir):
+    """A batch from the upper half of a long order: only the ranges that it reaches are read again."""
+    orders = t.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias(KEY), F.col("o_orderdate").alias("written"))
+    return ordered_slice(orders, [F.col("written"), F.col(KEY)], orders.count() // 4 * 3, 100)
+
+
 # --- modelling frame -------------------------------------------------------------------
 
 
@@ -430,6 +467,39 @@ def label_sink_concepts(spark, sf_dir):
     return read_parquet(spark, path)
 
 
+def _label_table(spark, name, kind=LabelTable):
+    schema = spark.createDataFrame([], f"{KEY} long, concept string, text_length int, detected string, explanation string").schema
+    return kind(spark, _fresh_path(spark, name), schema, buckets=8)
+
+
+class _Overtaken(LabelTable):
+    """A writer whose first commit comes after another one's."""
+
+    before = None
+
+    def _commit(self, entry):
+        before, self.before = self.before, None
+        if before:
+            before(LabelTable(self.spark, self.path, self.schema, self.key, self.buckets))
+        return super()._commit(entry)
+
+
+@query
+def label_table_batches(spark, sf_dir):
+    """A batch that broke off and is repeated, one that is sent twice, and two writers at the same time."""
+    one, two = (
+        _keyword_labels(spark, sf_dir, c, "discharge_text").withColumn("concept", F.lit(c)) for c in MANY[:2]
+    )
+    table = _label_table(spark, "label-batches", _Overtaken)
+    table.draft(one.select(*table.schema.fieldNames()).where(F.col(KEY) % 2 == 0))  # its writer died before the commit
+    table.append(one.where(F.col(KEY) % 2 == 0), "even")
+    table.append(one.where(F.col(KEY) % 2 == 0), "even")
+    table.before = lambda other: other.append(two.unionByName(one.where(F.col(KEY) % 3 == 0)), "other")
+    table.append(one.unionByName(two.where(F.col(KEY) % 5 == 0)), "all")
+    table.compact()
+    return table.rows()
+
+
 @query
 def notes_csv_source(spark, sf_dir):
     """Consolidated notes written and read as CSV, with line breaks and quotes inside."""

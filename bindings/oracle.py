@@ -209,6 +209,15 @@ SELECT c.hadm_id, c.stay_id, coalesce(d.twa, 0) AS avg_norepinephrine_equiv,
 FROM cohort c LEFT JOIN dose_agg d ON d.stay_id = c.stay_id"""
 ORACLE_SQL["code_split"] = _with(DIAGNOSES, SPLIT_CODES) + "SELECT * FROM codes"
 ORACLE_SQL["code_classifier"] = _with(DIAGNOSES, SPLIT_CODES, FLAGS) + "SELECT * FROM flags"
+_MORE_FLAGS = ", ".join(
+    "max(CASE WHEN " + " OR ".join(
+        f"substr(icd{system}_code, 1, 3) BETWEEN '{low}' AND '{high}'"
+        for group, system, low, high in t.MORE_CODE_RULES if group == name
+    ) + f" THEN 1 ELSE 0 END) AS {name}"
+    for name in ("any_respiratory", "infections")
+)
+ORACLE_SQL["code_classifier_rules"] = _with(DIAGNOSES, SPLIT_CODES, FLAGS) + f"""
+SELECT * FROM flags JOIN (SELECT hadm_id, {_MORE_FLAGS} FROM codes GROUP BY hadm_id) USING (hadm_id)"""
 ORACLE_SQL["comorbidity_bands"] = _with(COHORT, DIAGNOSES, SPLIT_CODES, FLAGS) + f"""
 SELECT c.hadm_id, {_FLAG_LIST}, {_BANDS} FROM cohort c LEFT JOIN flags f ON f.hadm_id = c.hadm_id"""
 for _name in ("worst_row_struct", "worst_row_window"):
@@ -436,6 +445,20 @@ _TWO = (("ards_detected", "discharge_text", False), ("trali_detected", "discharg
 ORACLE_SQL["label_callable_all"] = ORACLE_SQL["label_sink_concepts"] = _long_labels(*_TWO)
 ORACLE_SQL["label_new"] = _long_labels(*_TWO, ("bilateral_infiltrates_detected", "radiology_texts", True))
 
+ORACLE_SQL["label_table_new"] = ORACLE_SQL["label_new"]
+ORACLE_SQL["label_table_batches"] = ORACLE_SQL["label_sink_concepts"]
+ORACLE_SQL["label_waves"] = _ARDS.rstrip() + f""",
+  waves AS (SELECT {KEY}, answer, length(bin(chunk_no + 1)) AS wave FROM answers_t),
+  reached AS (SELECT {KEY}, min(wave) FILTER (WHERE contains(answer, 'Yes')) AS settled FROM waves GROUP BY {KEY}),
+  calls AS (
+    SELECT {KEY}, count(*) AS n_calls FROM waves JOIN reached USING ({KEY})
+    WHERE settled IS NULL OR wave <= settled GROUP BY {KEY})
+SELECT {KEY}, text_length, detected, explanation, coalesce(n_calls, 0) AS n_calls FROM labels_t LEFT JOIN calls USING ({KEY})"""
+ORACLE_SQL["label_batch_deep"] = f"""
+SELECT o_orderkey AS {KEY}, o_orderdate AS written
+FROM (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place, count(*) OVER () AS n FROM orders)
+WHERE place >= n // 4 * 3 AND place < n // 4 * 3 + 100"""
+
 ORACLE_SQL["label_sink"] = (
     _with(NOTES, *_label_parts("trali_detected", "discharge_text", "_t")) + "SELECT * FROM labels_t"
 )

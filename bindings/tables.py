@@ -16,6 +16,7 @@ from wardframe.fixed_values import (
     KEY,
     LABEL,
     REPORT_COLUMNS,
+    RESPIRATORY_CODE_GROUPS,
     TEXT_SOURCES,
     X_BINARY,
     X_CONTINUOUS,
@@ -87,6 +88,26 @@ def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stays ----------------------------------------------------------------------
 
 
+#: Groups beside those of single rules: they overlap these, each other and themselves.
+MORE_CODE_RULES = (
+    ("any_respiratory", 9, "460", "519"),
+    ("any_respiratory", 10, "J00", "J99"),
+    ("infections", 9, "460", "487"),
+    ("infections", 10, "J00", "J22"),
+    ("infections", 10, "J10", "J11"),
+)
+
+
+def code_rules(spark: SparkSession) -> DataFrame:
+    """The code groups as a table of rules; a set of codes is one rule a code."""
+    rows = list(MORE_CODE_RULES)
+    for name, systems in RESPIRATORY_CODE_GROUPS.items():
+        for system, rule in zip((9, 10), systems, strict=True):
+            spans = [(c, c) for c in sorted(rule)] if isinstance(rule, frozenset) else [rule]
+            rows += [(name, system, low, high) for low, high in spans]
+    return spark.createDataFrame(rows, "code_group string, system int, low string, high string")
+
+
 def _cents() -> Column:
     return F.round(F.col("value") * 100).cast("long")
 

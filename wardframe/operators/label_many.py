@@ -20,6 +20,7 @@ from wardframe.fixed_values import (
 )
 from wardframe.functions.texts import overlapping_chunks, says_yes, stripped
 from wardframe.operators.labelling import Labeller
+from wardframe.sources.label_table import LabelTable
 from wardframe.sources.sinks import append_labels, existing_labels
 
 #: Answers a list of prompts with a list as long; an exception in a place is that prompt's failure.
@@ -169,3 +170,34 @@ def label_new(
             todo = todo.where(F.size("todo") > 0)
             labels = label_many(todo, key, text, make_labeller).where(~F.col("failed")).drop("failed")
             append_labels(labels, path, [key, "concept"], fmt)
+
+
+def label_into(
+    df: DataFrame,
+    key: str,
+    concepts: Sequence[str],
+    make_labeller: Callable[[], BatchLabeller],
+    table: LabelTable,
+    batch: str,
+    sources: Mapping[str, Sequence[str]] = TEXT_SOURCES,
+) -> None:
+    """``label_new`` into a ``LabelTable``: each text source is one batch, whole or not there.
+
+    What the table holds is found by key where it lies, so that a run shuffles the texts'
+    keys and lengths of what is new and no label. A batch that broke off is repeated under
+    its name; what it had committed is not asked again.
+    """
+    by_text: dict[str, list[str]] = {}
+    for concept in concepts:
+        by_text.setdefault(sources[concept][0], []).append(concept)
+    for text, wanted in by_text.items():
+        todo = still_to_ask(df.select(key, text), wanted, table)
+        labels = label_many(todo, key, text, make_labeller).where(~F.col("failed")).drop("failed")
+        table.append(labels, f"{batch}/{text}")
+
+
+def still_to_ask(texts: DataFrame, concepts: Sequence[str], table: LabelTable) -> DataFrame:
+    """``texts`` with ``todo``, the concepts that the table lacks for them; without those it lacks none for."""
+    todo = F.array_except(F.array(*map(F.lit, concepts)), F.col("known"))
+    marked = table.with_known(texts).withColumn("todo", todo).drop("known")
+    return marked.where(F.size("todo") > 0)
