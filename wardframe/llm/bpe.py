@@ -27,8 +27,8 @@ LONG_PIECES = 200_000
 LONG_BYTES = 64
 #: Pieces per query, and rows that a recursive query may gather.
 QUERY_PIECES, QUERY_ROWS = 40_000, 3_000_000
-#: Pieces whose ids a worker remembers; the oldest half goes when there are more.
-REMEMBERED = 300_000
+#: Pieces whose ids a worker remembers; when there are more, those met once since the last time go.
+REMEMBERED = 600_000
 
 _CONTRACT = """
 WITH RECURSIVE step(piece, pos, token, done) AS (
@@ -109,6 +109,7 @@ class Codec:
         self._pieces = regex.compile(self.pattern)
         self._ids: dict[str, str] = {}
         self._texts: dict[str, str | bytes] = {}
+        self._again: set[str] = set()
         self._bytes = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self._connection = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         pairs, ids = [], []
@@ -234,9 +235,13 @@ class Codec:
     def _meet(self, pieces: set[str]) -> None:
         """Have the ids of all ``pieces`` at hand; what else is remembered stays bounded."""
         if len(self._ids) > REMEMBERED:
-            for piece in list(islice(self._ids, len(self._ids) // 2)):
-                self._texts.pop(self._ids.pop(piece), None)
-        if new := pieces.difference(self._ids):
+            kept = self._again if 4 * len(self._again) <= 3 * REMEMBERED else set(islice(self._again, REMEMBERED // 2))
+            self._ids = {p: ids for p, ids in self._ids.items() if p in kept}
+            self._texts = {ids: self._texts[ids] for ids in self._ids.values()}
+            self._again = set()
+        new = pieces.difference(self._ids)
+        self._again |= pieces - new
+        if new:
             self._learn(new)
 
     def _looked_up(self, pieces: list[str]) -> tuple[list[str], list[str | bytes]]:
