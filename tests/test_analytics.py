@@ -9,7 +9,17 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from wardframe.fixed_values import C_BINARY, C_CONTINUOUS, C_TEXT, KEY, LABEL, X_BINARY, X_CONTINUOUS
+from wardframe.fixed_values import (
+    C_BINARY,
+    C_CONTINUOUS,
+    C_TEXT,
+    CONCEPT_LOSS_WEIGHT,
+    JOINT_WEIGHT_DECAY,
+    KEY,
+    LABEL,
+    X_BINARY,
+    X_CONTINUOUS,
+)
 from wardframe.operators import fitting, metrics, prepare
 from wardframe.operators import interventions as what_if
 from wardframe.operators.correlation import correlation_matrix
@@ -420,18 +430,59 @@ def test_joint_step_adds_up_over_tasks(frame, pandas_prepared):
     weights = fitting.Weights.start(len(C_TEXT))
     columns = [F.col(c).cast("double") for c in (*FEATURES, *CONCEPTS, *C_TEXT, LABEL)]
     rows = ready.where("split <> 'test'").select(*columns, (F.col("split") == "train").cast("double").alias("t"))
-    train_loss, valid_loss, gradient = fitting.joint_step(as_blocks(rows), weights, C_TEXT)
-    for split, found in (("train", train_loss), ("validation", valid_loss)):
+    step = fitting.joint_step(as_blocks(rows), weights, C_TEXT, curvature=True)
+    for split, found in (("train", step.train_loss), ("validation", step.valid_loss)):
         data = arrays(pandas_prepared, split)
         loss, expected = fitting.batch_sums(*data, weights)
         assert found == pytest.approx(loss / len(data[3]))
         if split == "train":
-            assert gradient == pytest.approx(expected / len(data[3]), abs=1e-12)
-
-
-def test_joint_fit_learns_and_keeps_the_best(frame):
+            assert step.gradient == pytest.approx(expected / len(data[3]), abs=1e-12)
+            whole = fitting.batch_curvature(data[0], data[2], weights) / len(data[3])
+            assert step.curvature == pytest.approx(whole, abs=1e-12)
+    assert fitting.joint_step(as_blocks(rows), weights, C_TEXT).curvature is None
+
+
+def test_curvature_is_that_of_outputs_taken_as_linear(pandas_prepared):
+    """By differences: the slopes of the losses in the outputs stay, the outputs follow their tangent."""
+    x, c, s, y = (a[:30] for a in arrays(pandas_prepared))
+    w = fitting.Weights.start(len(C_TEXT))
+    binary = np.arange(len(CONCEPTS)) >= len(C_CONTINUOUS)
+
+    def outputs(flat):
+        at = fitting.Weights.from_flat(flat, len(C_TEXT))
+        raw = x @ at.concept
+        concepts = np.where(binary, 1 / (1 + np.exp(-raw)), raw)
+        return np.concatenate([raw, (concepts @ at.label + s @ at.text)[:, None]], axis=1).ravel()
+
+    flat = w.flat()
+    tangent = np.column_stack(
+        [(outputs(flat + e) - outputs(flat - e)) / 2e-6 for e in 1e-6 * np.eye(flat.size)]
+    )
+    out = outputs(flat).reshape(len(x), -1)
+    p = 1 / (1 + np.exp(-out))
+    share = np.where(binary, 1 / len(C_BINARY), 2 / len(C_CONTINUOUS)) * CONCEPT_LOSS_WEIGHT
+    bend = np.concatenate([share * np.where(binary, p[:, :-1] * (1 - p[:, :-1]), 1), (p * (1 - p))[:, -1:]], axis=1)
+    expected = tangent.T @ (bend.ravel()[:, None] * tangent)
+    assert fitting.batch_curvature(x, s, w) == pytest.approx(expected, rel=1e-4, abs=1e-4)
+
+
+def test_joint_fit_beats_a_hundred_gradient_steps(frame, pandas_prepared):
     ready, _ = prepare.prepared(frame)
-    fit = fitting.fit_joint(ready, with_text=True, epochs=25, learning_rate=0.1)
-    assert min(fit.validation_losses) < fit.validation_losses[0]
-    assert len(fit.train_losses) <= 25
+    fit = fitting.fit_joint(ready, with_text=True)
+    train, valid = arrays(pandas_prepared), arrays(pandas_prepared, "validation")
+    values = fitting.Weights.start(len(C_TEXT)).flat()
+    first, second, lowest = np.zeros_like(values), np.zeros_like(values), np.inf
+    for epoch in range(1, 101):  # Adam
+        at = fitting.Weights.from_flat(values, len(C_TEXT))
+        lowest = min(lowest, fitting.batch_sums(*valid, at)[0] / len(valid[3]))
+        gradient = fitting.batch_sums(*train, at)[1] / len(train[3]) + JOINT_WEIGHT_DECAY * values
+        first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+        values = values - 0.3 * (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-8)
+    assert min(fit.validation_losses) <= lowest + 1e-3
+    assert len(fit.train_losses) <= 33
     assert tuple(fit.model.label.weights) == ALL_CONCEPTS
+    # the weights that are kept are those of the lowest validation loss
+    concept = np.array([[fit.model.concepts[c][f] for c in CONCEPTS] for f in FEATURES])
+    label = [fit.model.label.weights[c] for c in ALL_CONCEPTS]
+    kept = fitting.Weights(concept, np.array(label[: len(CONCEPTS)]), np.array(label[len(CONCEPTS) :]))
+    assert fitting.batch_sums(*valid, kept)[0] / len(valid[3]) == pytest.approx(min(fit.validation_losses))

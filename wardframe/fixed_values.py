@@ -177,12 +177,9 @@ NULL_IF_EMPTY = ("bilateral_infiltrates_detected",)
 
 CONCEPT_LOSS_WEIGHT = 0.5
 LOGISTIC_WEIGHT_DECAY = 1e-4
-JOINT_LEARNING_RATE = 0.3
 JOINT_WEIGHT_DECAY = 1e-4
-JOINT_EPOCHS = 100
 SEQUENTIAL_WEIGHT_DECAY = 1e-3
 CONCEPT_LABEL_WEIGHT_DECAY = {"plain": 1e-4, "with_text": 8e-5}
-JOINT_PATIENCE = 30
 TEST_PERCENT = 20
 VALIDATION_PERCENT = 20
 

@@ -21,12 +21,9 @@ from wardframe.fixed_values import (
     C_TEXT,
     CONCEPT_LABEL_WEIGHT_DECAY,
     CONCEPT_LOSS_WEIGHT,
-    JOINT_EPOCHS,
-    JOINT_LEARNING_RATE,
     JOINT_WEIGHT_DECAY,
     LABEL,
     LOGISTIC_WEIGHT_DECAY,
-    JOINT_PATIENCE,
     SEQUENTIAL_WEIGHT_DECAY,
 )
 from wardframe.operators.correlation import product_sums
@@ -43,6 +40,10 @@ from wardframe.operators.sums import as_blocks, block_totals
 SEED = 25
 NEWTON_STEPS = 50
 NEWTON_TOLERANCE = 1e-9
+#: Passes over the rows that a joint fit takes at most.
+JOINT_PASSES = 40
+#: Steps without a validation loss lower by JOINT_GAIN (a share of it) that end a joint fit.
+JOINT_WAIT, JOINT_GAIN = 2, 1e-3
 
 
 def _train(frame: DataFrame) -> DataFrame:
@@ -247,16 +248,51 @@ def batch_sums(x: np.ndarray, c: np.ndarray, s: np.ndarray, y: np.ndarray, w: We
     return float(loss), gradient
 
 
-def joint_step(blocks: DataFrame, w: Weights, text: Sequence[str]) -> tuple[float, float, np.ndarray]:
-    """Mean training loss, mean validation loss and mean training gradient.
+def batch_curvature(x: np.ndarray, s: np.ndarray, w: Weights) -> np.ndarray:
+    """Gauss-Newton matrix of the joint loss, summed over the rows of a batch.
 
-    One job per call, over blocks of features, concepts, text concepts, label
-    and a mark for training rows.
+    The outputs (label and concepts) are taken as linear in the weights, and the losses
+    as they bend in the outputs, so the matrix has no negative direction.
+    """
+    many = len(CONCEPTS)
+    binary = np.arange(many) >= len(C_CONTINUOUS)
+    raw = x @ w.concept
+    concepts = np.where(binary, 1.0 / (1.0 + np.exp(-raw)), raw)
+    slope = np.where(binary, concepts * (1.0 - concepts), 1.0)
+    p = 1.0 / (1.0 + np.exp(-(concepts @ w.label + s @ w.text)))
+    through = x[:, :, None] * (slope * w.label)[:, None, :]
+    lines = np.concatenate([through.reshape(len(x), -1), concepts, s], axis=1)
+    total = (lines * (p * (1.0 - p))[:, None]).T @ lines
+    bend = CONCEPT_LOSS_WEIGHT * slope * np.where(binary, 1.0 / len(C_BINARY), 2.0 / len(C_CONTINUOUS))
+    for k in range(many):
+        own = np.arange(x.shape[1]) * many + k
+        total[np.ix_(own, own)] += (x * bend[:, [k]]).T @ x
+    return total
+
+
+@dataclass
+class JointStep:
+    """Mean losses, mean training gradient and, if asked for, the mean Gauss-Newton matrix."""
+
+    train_loss: float
+    valid_loss: float
+    gradient: np.ndarray
+    curvature: np.ndarray | None = None
+
+
+def joint_step(blocks: DataFrame, w: Weights, text: Sequence[str], curvature: bool = False) -> JointStep:
+    """The joint losses at given weights: one job per call.
+
+    Blocks hold features, concepts, text concepts, label and a mark for training
+    rows. The upper half of the curvature matrix is some 50,000 numbers a task, so
+    a pass that asks for it takes as many tasks as there are cores, not as there are blocks.
     """
     features, concepts, width = len(FEATURES), len(CONCEPTS), len(text)
+    many = w.flat().size
+    size = 4 + many + (many * (many + 1) // 2 if curvature else 0)
 
     def sums_of(batch: np.ndarray) -> np.ndarray:
-        total = np.zeros(4 + w.flat().size)
+        total = np.zeros(size)
         for train, place in ((True, 0), (False, 2)):
             part = batch[(batch[:, -1] == 1.0) == train]
             x, c = part[:, :features], part[:, features : features + concepts]
@@ -264,13 +300,23 @@ def joint_step(blocks: DataFrame, w: Weights, text: Sequence[str]) -> tuple[floa
             loss, gradient = batch_sums(x, c, s, part[:, -2], w)
             total[place : place + 2] = len(part), loss
             if train:
-                total[4:] = gradient
+                total[4 : 4 + many] = gradient
+                if curvature:
+                    total[4 + many :] = batch_curvature(x, s, w)[np.triu(np.ones((many, many), bool))]
         return total
 
-    columns = features + concepts + width + 2
-    sums = block_totals(blocks, columns, 4 + w.flat().size, sums_of)
+    if curvature:
+        blocks = blocks.coalesce(blocks.sparkSession.sparkContext.defaultParallelism)
+    sums = block_totals(blocks, features + concepts + width + 2, size, sums_of)
     train_rows, train_loss, valid_rows, valid_loss = sums[:4]
-    return train_loss / max(train_rows, 1), valid_loss / max(valid_rows, 1), sums[4:] / max(train_rows, 1)
+    step = JointStep(
+        train_loss / max(train_rows, 1), valid_loss / max(valid_rows, 1), sums[4 : 4 + many] / max(train_rows, 1)
+    )
+    if curvature:
+        half = np.zeros((many, many))
+        half[np.triu(np.ones((many, many), bool))] = sums[4 + many :] / max(train_rows, 1)
+        step.curvature = half + np.triu(half, 1).T
+    return step
 
 
 def _joint_rows(frame: DataFrame, text: Sequence[str]) -> DataFrame:
@@ -287,8 +333,8 @@ def joint_slopes(frame: DataFrame, model: ConceptModel) -> tuple[float, float, W
     label = model.label.weights
     w = Weights(concept, np.array([label[c] for c in CONCEPTS]), np.array([label[c] for c in text]))
     with _kept(_joint_rows(frame, text)) as blocks:
-        train, valid, slopes = joint_step(blocks, w, text)
-    return float(train), float(valid), Weights.from_flat(slopes, len(text))
+        step = joint_step(blocks, w, text)
+    return float(step.train_loss), float(step.valid_loss), Weights.from_flat(step.gradient, len(text))
 
 
 @dataclass
@@ -301,38 +347,52 @@ class JointFit:
 def fit_joint(
     frame: DataFrame,
     with_text: bool = False,
-    epochs: int = JOINT_EPOCHS,
-    learning_rate: float = JOINT_LEARNING_RATE,
+    passes: int = JOINT_PASSES,
     weight_decay: float = JOINT_WEIGHT_DECAY,
-    patience: int = JOINT_PATIENCE,
+    wait: int = JOINT_WAIT,
 ) -> JointFit:
-    """Concepts and label together, by full-batch Adam with early stopping.
+    """Concepts and label together, by damped Gauss-Newton steps with early stopping.
 
-    The weights with the lowest validation loss are kept, and the fit stops
-    after ``patience`` epochs without a lower one.
+    Every pass takes losses, gradient and curvature at one point. A step that lowers the
+    penalised training loss is taken, and the damping follows how well the curvature foretold
+    the fall; one that does not is tried again shorter. The weights with the lowest validation
+    loss are kept; the fit stops after ``wait`` steps without one that is clearly lower.
     """
     text = C_TEXT if with_text else ()
-    rows = _joint_rows(frame, text)
     values = Weights.start(len(text)).flat()
-    first, second = np.zeros_like(values), np.zeros_like(values)
     fit = JointFit(ConceptModel({}, LabelModel({})))
-    best, best_loss, waited = values, np.inf, 0
-    with _kept(rows) as blocks:
-        for epoch in range(1, epochs + 1):
-            train_loss, valid_loss, gradient = joint_step(blocks, Weights.from_flat(values, len(text)), text)
-            fit.train_losses.append(train_loss)
-            fit.validation_losses.append(valid_loss)
-            if valid_loss < best_loss:
-                best, best_loss, waited = values, valid_loss, 0
-            else:
-                waited += 1
-                if waited >= patience:
-                    break
-            gradient = gradient + weight_decay * values
-            first = 0.9 * first + 0.1 * gradient
-            second = 0.999 * second + 0.001 * gradient**2
-            step = (first / (1 - 0.9**epoch)) / (np.sqrt(second / (1 - 0.999**epoch)) + 1e-8)
-            values = values - learning_rate * step
+
+    with _kept(_joint_rows(frame, text)) as blocks:
+
+        def at(point: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+            step = joint_step(blocks, Weights.from_flat(point, len(text)), text, curvature=True)
+            fit.train_losses.append(step.train_loss)
+            fit.validation_losses.append(step.valid_loss)
+            loss = step.train_loss + weight_decay / 2 * point @ point
+            ridge = weight_decay * np.eye(point.size)
+            return loss, step.gradient + weight_decay * point, step.curvature + ridge
+
+        loss, gradient, curvature = at(values)
+        best, best_loss, waited = values, fit.validation_losses[0], 0
+        damping, harder = 1e-2, 2.0
+        while len(fit.train_losses) < passes and waited < wait:
+            damped = curvature + damping * np.diag(np.diag(curvature))
+            move = -np.linalg.solve(damped, gradient)
+            foretold = -(gradient @ move + move @ curvature @ move / 2)
+            if foretold < NEWTON_TOLERANCE:
+                break
+            there = at(values + move)
+            gain = (loss - there[0]) / foretold
+            if gain <= 0 or not np.isfinite(gain):
+                damping, harder = damping * harder, harder * 2
+                continue
+            values = values + move
+            loss, gradient, curvature = there
+            damping, harder = max(1e-9, damping * max(1 / 5, 1 - (2 * gain - 1) ** 3)), 2.0
+            valid = fit.validation_losses[-1]
+            waited = 0 if valid < best_loss * (1 - JOINT_GAIN) else waited + 1
+            if valid < best_loss:
+                best, best_loss = values, valid
     w = Weights.from_flat(best, len(text))
     concepts = {c: dict(zip(FEATURES, map(float, w.concept[:, j]), strict=True)) for j, c in enumerate(CONCEPTS)}
     label = dict(zip((*CONCEPTS, *text), map(float, np.concatenate([w.label, w.text])), strict=True))
