@@ -813,3 +813,14 @@ def fits_at_minimum(spark, sf_dir):
         slopes = fitting.logistic_slopes(frame, model, weight_decay=decay)[1]
         rows += [(name, n, LABEL, abs(v)) for n, v in slopes.items()]
     return _slopes(spark, rows)
+
+
+@query
+def sequential_fits_at_minimum(spark, sf_dir):
+    """The slopes of both layers' losses at the weights that the sequential fits found: zero, to six digits."""
+    frame = _prepared(spark, sf_dir)
+    rows = []
+    for name, text in (("base", False), ("context", True)):
+        slopes = fitting.sequential_slopes(frame, fitting.fit_sequential(frame, with_text=text))
+        rows += [(name, src, dst, abs(v)) for (src, dst), v in slopes.items()]
+    return _slopes(spark, rows)

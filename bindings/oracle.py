@@ -903,3 +903,8 @@ ORACLE_SQL["fits_at_minimum"] = " UNION ALL ".join(
     for model, names in (("plain", FEATURES), ("c_to_y_plain", CONCEPTS), ("c_to_y_with_text", ALL_CONCEPTS))
     for src in names
 )
+ORACLE_SQL["sequential_fits_at_minimum"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS model, '{src}' AS src, '{dst}' AS dst, 0.0::DOUBLE AS slope"
+    for model, names in (("base", CONCEPTS), ("context", ALL_CONCEPTS))
+    for src, dst in [*((f, c) for f in FEATURES for c in CONCEPTS), *((n, LABEL) for n in names)]
+)

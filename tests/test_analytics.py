@@ -486,3 +486,24 @@ def test_joint_fit_beats_a_hundred_gradient_steps(frame, pandas_prepared):
     label = [fit.model.label.weights[c] for c in ALL_CONCEPTS]
     kept = fitting.Weights(concept, np.array(label[: len(CONCEPTS)]), np.array(label[len(CONCEPTS) :]))
     assert fitting.batch_sums(*valid, kept)[0] / len(valid[3]) == pytest.approx(min(fit.validation_losses))
+
+
+def test_sequential_slopes_are_those_of_the_losses(frame, pandas_prepared):
+    """At weights away from the minimum, against plain NumPy."""
+    ready, _ = prepare.prepared(frame)
+    rng = np.random.default_rng(3)
+    concept = {c: dict(zip(FEATURES, rng.normal(0, 0.3, len(FEATURES)), strict=True)) for c in CONCEPTS}
+    model = ConceptModel(concept, LabelModel(dict(zip(ALL_CONCEPTS, rng.normal(0, 0.3, len(ALL_CONCEPTS)), strict=True))))
+    found = fitting.sequential_slopes(ready, model, weight_decay=0.01)
+    x, c, s, y = arrays(pandas_prepared)
+    binary = np.array([name in C_BINARY for name in CONCEPTS])
+    weights = np.array([[concept[n][f] for n in CONCEPTS] for f in FEATURES])
+    raw = x @ weights
+    made = np.where(binary, 1 / (1 + np.exp(-raw)), raw)
+    pull, decay = np.where(binary, 1.0, 2 / len(C_CONTINUOUS)), np.where(binary, len(C_BINARY), 1) * 0.01
+    expected = x.T @ (made - c) / len(y) * pull + decay * weights
+    assert [[found[f, n] for n in CONCEPTS] for f in FEATURES] == pytest.approx(expected, abs=1e-9)
+    into = np.concatenate([made, s], axis=1)
+    label = np.array([model.label.weights[n] for n in ALL_CONCEPTS])
+    error = 1 / (1 + np.exp(-into @ label)) - y
+    assert [found[n, LABEL] for n in ALL_CONCEPTS] == pytest.approx(into.T @ error / len(y) + 0.01 * label, abs=1e-9)

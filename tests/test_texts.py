@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import uuid
 from pathlib import Path
 
@@ -11,6 +12,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardframe import schemas
 from wardframe.fixed_values import C_TEXT, CHUNK_OVERLAP, CHUNK_SIZE, NOTE_SEPARATOR, PROMPTS
@@ -19,6 +21,7 @@ from wardframe.operators import labelling
 from wardframe.operators.note_parts import chunks_from_notes
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
 from wardframe.shipping import ship_by_value
+from wardframe.sources.quoted_csv import read_quoted_csv
 from wardframe.sources.readers import read_notes_csv, read_parquet
 from wardframe.operators.keys import first_rows
 from wardframe.operators.label_many import label_many, label_new
@@ -116,6 +119,42 @@ def test_notes_csv(spark, note_tables, tmp_path):
     assert back == {tuple("" if v is None else v for v in r) for r in notes.collect()}
 
 
+AWKWARD = ["", "plain", 'said ""', '"', ",", "a\nb", "a\r\nb\r", "\n\n", " blank ", "é😀\n" * 40, '"\n"' * 30, "x" * 300, None]
+
+
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [37, 200, 1 << 20])
+def test_quoted_csv_in_splits_of_any_size(spark, tmp_path, ends, size):
+    """Files of several sizes, cut anywhere, against what was written by Python's own module."""
+    rng, expected = random.Random(size), []
+    for file, many in (("a.csv", 40), ("b.csv", 1), ("c.csv", 0)):
+        with open(tmp_path / file, "w", newline="", encoding="utf-8") as out:
+            out.write(f"hadm_id,note,other{ends}")
+            for _ in range(many):
+                row = (len(expected), rng.choice(AWKWARD), rng.choice(AWKWARD))
+                quoted = ["" if v is None else '"' + v.replace('"', '""') + '"' for v in row[1:]]
+                out.write(",".join([str(row[0]), *quoted]) + ends + (ends if rng.random() < 0.1 else ""))
+                expected.append(row)
+    (tmp_path / "d.csv").touch()
+    schema = T.StructType.fromDDL("hadm_id long, note string, other string")
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for name in before:
+            spark.conf.set(name, str(size))
+        found = read_quoted_csv(spark, str(tmp_path), schema)
+        rows = sorted(tuple(r) for r in found.collect())
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert rows == [(i, note or None, other or None) for i, note, other in expected]
+
+
+def test_quoted_csv_checks_the_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('hadm_id,text\n1,"a\nb"\n')
+    with pytest.raises(Exception, match="the header is"):
+        read_quoted_csv(spark, str(tmp_path), T.StructType.fromDDL("hadm_id long, note string")).collect()
+
+
 ANSWERS = {
     "yes": "  Yes, clearly \n",
     "lower": "yes",

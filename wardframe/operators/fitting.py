@@ -192,6 +192,31 @@ def fit_sequential(
     return ConceptModel(concepts, label)
 
 
+def sequential_slopes(
+    frame: DataFrame, model: ConceptModel, weight_decay: float = SEQUENTIAL_WEIGHT_DECAY
+) -> dict[tuple[str, str], float]:
+    """Slopes (source, target) of the losses of a sequential fit at given weights: of the concepts, then of the label.
+
+    The model scores the training rows as it does any others; what its concepts miss,
+    times the features, gives the slopes of both kinds of concept in one pass.
+    """
+    scored = score_concepts(frame, model, "predicted_")
+    missed = [(F.col("predicted_" + c) - F.col(c)).alias("missed_" + c) for c in CONCEPTS]
+    names = [*FEATURES, *("missed_" + c for c in CONCEPTS), "one"]
+    rows = _train(scored).select(*FEATURES, *missed, F.lit(1.0).alias("one"))
+    sums = product_sums(rows, names, dict.fromkeys(names, 0.0))
+    means = sums / max(sums[-1, -1], 1.0)
+    slopes = {}
+    for j, c in enumerate(CONCEPTS):
+        pull, decay = (2.0 / len(C_CONTINUOUS), 1) if c in C_CONTINUOUS else (1.0, len(C_BINARY))
+        for i, f in enumerate(FEATURES):
+            slopes[f, c] = float(pull * means[i, len(FEATURES) + j] + decay * weight_decay * model.concepts[c][f])
+    named = {("predicted_" + n if n in CONCEPTS else n): w for n, w in model.label.weights.items()}
+    for n, v in logistic_slopes(scored, LabelModel(named), weight_decay=weight_decay)[1].items():
+        slopes[n.removeprefix("predicted_"), LABEL] = v
+    return slopes
+
+
 # --- joint fit -----------------------------------------------------------------
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from wardframe import schemas
+from wardframe.sources.quoted_csv import read_quoted_csv
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -25,8 +26,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, line_breaks:
 
 
 def read_notes_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The consolidated notes; a missing text becomes the empty text."""
-    return read_csv(spark, path, schemas.COHORT_NOTES).na.fill("")
+    """The consolidated notes; a missing text becomes the empty text. A large file is read by many tasks."""
+    return read_quoted_csv(spark, path, schemas.COHORT_NOTES).na.fill("")
 
 
 def read_modelling_csv(spark: SparkSession, path: str) -> DataFrame:
