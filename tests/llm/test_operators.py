@@ -540,6 +540,42 @@ def test_html_keeps_all_parts_beside_the_best():
     assert got(f"<div><h2>T</h2></div><div>{long}<div>in</div></div><div><div>other wrapper</div></div>") == ["T", *both, "in", "other wrapper"]
 
 
+def test_html_marks_do_not_take_the_article():
+    def got(body):
+        return html_text.main_text(f"<html><body>{body}</body></html>").split("\n\n")
+
+    one, both = f"<p>{LONG}</p>", [LONG.strip()] * 2
+    for name in ('div class="page has-sidebar"', 'article class="post comments-open"', 'main class="no-header"', 'form id="aspnetForm"', 'div class="right-sidebar"'):
+        assert got(f"<{name}>{one}{one}</{name.split()[0]}>") == both, name
+    wrapper = '<div class="nav-wrap"><div id=content>{}</div><div class="sidebar"><p>Aside, {}</p></div></div>'
+    assert got(wrapper.format(one + one, LONG)) == both
+    assert got(f'<article>{one}<section id="discussion"><p>We discuss</p></section><p class="search-term">term</p></article>') == [LONG.strip(), "We discuss", "term"]
+    assert got(f"<article><header><h1>Title</h1></header>{one}<footer>gone</footer></article>") == ["Title", LONG.strip()]
+    assert got(f'<article>{one}</article><div class="comments"><article><p>{LONG * 9}</p></article></div>') == [LONG.strip()]
+    assert got(f'<article>{one}</article><div id="discussion"><p>{LONG}</p></div>') == [LONG.strip()]
+    assert got(f'{one}<form><p>{LONG}</p></form><div class="sidebar"><p>{LONG}</p></div>') == [LONG.strip()]
+    assert got('<div class="ad">only an advert</div>') == [""]
+    assert got(f'<pre>x <span class="comment">y</span></pre>{one}') == ["x y", LONG.strip()]
+
+
+def test_html_body_and_articles():
+    def got(body):
+        return html_text.main_text(f"<html><body>{body}</body></html>").split("\n\n")
+
+    menu = "<ul><li><a href=x>Home</a><li><a href=y>News</a></ul>"
+    assert got(f"{menu}<p>{LONG}<p>short<ul><li>item</ul>") == [LONG.strip(), "short", "item"]
+    assert got(f"<h1>T</h1><article><p>{LONG * 3}</article><article><p>brief</article><p>closing</p>{menu}") == ["T", (LONG * 3).strip(), "brief", "closing"]
+
+
+def test_html_of_unclosed_tags_is_linear():
+    import time
+
+    for page in ("<b>" * 20000 + "x</i>" * 20000, "<b>" * 20000 + "<p>x" * 20000, "<h1>x" * 20000, "<b><div>" * 9000 + "x</b>" * 9000, "<dl>" + "<dt>x<pre>" * 9000):
+        start = time.perf_counter()
+        assert "x" in html_text.main_text(page)
+        assert time.perf_counter() - start < 2
+
+
 def test_html_awkward(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text"), (4, "u", "<p>a<p"), (5, "u", "<script>x"), (6, "u", "<!-- "), (None, "u", "<b>1 < 2"), (7, "u", "<div>" * 3000 + "deep")]
     got = html_text.extract(spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string"))
