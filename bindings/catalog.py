@@ -48,7 +48,8 @@ from wardframe.operators.scoring import (
     score_model,
     weight_rows,
 )
-from wardframe.operators.statistics import summary_rows
+from wardframe.operators.statistics import QUARTILES, summary_rows, summary_table
+from wardframe.operators.summaries import SummaryStore
 from wardframe.operators.worst_row import ORGANS, stay_summary, worst_row_by_window
 from wardframe.plans import cohort_features as features
 from wardframe.plans.cohort_notes import cohort_notes, patient_reports
@@ -423,14 +424,27 @@ def minmax_scale(spark, sf_dir):
     return ready.select(KEY, prepare.SPLIT, *prepare.SCALED)
 
 
-@query
-def describe(spark, sf_dir):
-    rows = summary_rows(_frame(spark, sf_dir), [*X_CONTINUOUS, *C_CONTINUOUS])
+def _rounded_summary(rows):
     return rows.select(
         "feature", "count", *(F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max"))
     )
 
 
+@query
+def describe(spark, sf_dir):
+    return _rounded_summary(summary_rows(_frame(spark, sf_dir), [*X_CONTINUOUS, *C_CONTINUOUS]))
+
+
+@query
+def describe_parts(spark, sf_dir):
+    """The same out of summaries of two parts kept in a folder, one of them added twice."""
+    frame = _frame(spark, sf_dir)
+    store = SummaryStore(spark, _fresh_path(spark, "summaries"), [*X_CONTINUOUS, *C_CONTINUOUS])
+    for part in (0, 1, 0):
+        store.add(f"part-{part}", frame.where(F.pmod(KEY, F.lit(2)) == part))
+    return _rounded_summary(summary_table(spark, store.stats(frame, QUARTILES)))
+
+
 @query
 def correlation_long(spark, sf_dir):
     ready, _ = prepare.prepared(_frame(spark, sf_dir))

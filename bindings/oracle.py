@@ -537,6 +537,7 @@ ORACLE_SQL["describe"] = _with(*FRAME) + " UNION ALL ".join(
   round(quantile_cont({c}, 0.75), 4) AS p75, round(max({c}), 4) AS max FROM frame"""
     for c in SCALED
 )
+ORACLE_SQL["describe_parts"] = ORACLE_SQL["describe"]
 
 
 def _correlations(source: str) -> str:

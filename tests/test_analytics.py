@@ -35,6 +35,7 @@ from wardframe.operators.scoring import (
 )
 from wardframe.operators.sums import as_blocks
 from wardframe.operators.statistics import column_stats, summary_rows
+from wardframe.operators.summaries import SummaryStore, summarise
 from wardframe.plans.concept_study import BASE, CONTEXT, ConceptStudy
 from wardframe.sources.readers import read_modelling_csv
 from wardframe.sources.sinks import write_csv
@@ -133,6 +134,43 @@ def test_empty_split(spark):
     assert stats["a"].count == 0 and stats["a"].median is None
 
 
+@pytest.mark.parametrize("size", [0, 1, 3, 1001, 200_000])
+def test_summaries_of_parts(spark, tmp_path, size):
+    rng = np.random.default_rng(size)
+    values = np.round(rng.lognormal(0, 2, size), 3) + 1e6
+    values[: size // 3] = 1.0
+    pdf = pd.DataFrame({"a": values, "b": np.where(rng.random(size) < 0.5, np.nan, values), "part": np.arange(size) % 3})
+    df = spark.createDataFrame(pdf, "a double, b double, part long").withColumn("feature", F.lit("clash"))
+    df = df.withColumn("c", F.lit(None).cast("double")).repartition(5)
+    store = SummaryStore(spark, str(tmp_path / "kept"), ["a", "b", "c"])
+    for part in (0, 1, 2, 1):
+        store.add(f"p{part}", df.where(F.col("part") == part))
+    stats = store.stats(df, (0.0, 0.25, 0.5, 1.0))
+    assert stats["c"].count == 0 and stats["c"].mean is None and stats["c"].median is None
+    for c in ("a", "b"):
+        kept, found = pdf[c].dropna(), stats[c]
+        assert found.count == len(kept)
+        if kept.empty:
+            assert found.low is None and found.median is None
+            continue
+        assert found.mean == pytest.approx(kept.mean(), rel=1e-12)
+        assert (found.low, found.high) == (kept.min(), kept.max())
+        assert found.std == (pytest.approx(kept.std(), rel=1e-9) if len(kept) > 1 else None)
+        for q, at in found.quantiles.items():
+            assert at == pytest.approx(kept.quantile(q), rel=1e-12)
+
+
+def test_adding_a_part_reads_that_part_only(spark, tmp_path):
+    df = spark.range(100).selectExpr("id % 2 AS part", "id * 1.5 AS a", "id AS other")
+    df.write.partitionBy("part").parquet(str(tmp_path / "table"))
+    table = spark.read.parquet(str(tmp_path / "table"))
+    plan = summarise(table.where("part = 1"), ["a"])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan.split("HashAggregate")[-1] and "PartitionFilters: [isnotnull(part" in plan
+    assert "other" not in plan
+    with pytest.raises(ValueError, match="name"):
+        SummaryStore(spark, str(tmp_path / "kept"), ["a"]).add("../x", table)
+
+
 def test_summary(frame, raw):
     rows = {r["feature"]: r for r in summary_rows(frame, X_CONTINUOUS[:3]).collect()}
     expected = raw[list(X_CONTINUOUS[:3])].describe()

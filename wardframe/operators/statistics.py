@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardframe.session import compiled_methods
@@ -22,6 +22,7 @@ from wardframe.session import compiled_methods
 ACCURACY = 1_000
 _MARGIN = 2.0 / ACCURACY
 STEPS = 1_000
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ def column_stats(
                 q * (row["count"] - 1),
             )
     bounds = {name: (row["low"], row["high"]) for name, row in found.items()}
-    exact = _at_ranks(df, _holding(df, wanted, bounds))
+    exact = exact_quantiles(df, wanted, bounds)
     stats = {}
     for name in columns:
         row = found.get(name)
@@ -111,6 +112,13 @@ class Enclosure:
 Wanted = dict[tuple[str, float], Enclosure]
 
 
+def exact_quantiles(
+    df: DataFrame, wanted: Wanted, bounds: dict[str, tuple[float, float]]
+) -> dict[tuple[str, float], float]:
+    """Values at the wanted ranks; an enclosure that misses its ranks gives way to the column's bounds."""
+    return _at_ranks(df, _holding(df, wanted, bounds))
+
+
 def _inside(name: str, e: Enclosure) -> Column:
     value = F.col(name).cast("double")
     return (value >= F.lit(e.low)) & (value <= F.lit(e.high))
@@ -191,13 +199,17 @@ def _at_ranks(df: DataFrame, wanted: Wanted) -> dict[tuple[str, float], float]:
 
 def summary_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, bounds and quartiles, one row per column."""
-    stats = column_stats(df, columns, (0.25, 0.5, 0.75))
+    return summary_table(df.sparkSession, column_stats(df, columns, QUARTILES))
+
+
+def summary_table(spark: SparkSession, stats: dict[str, ColumnStats]) -> DataFrame:
+    """Statistics that hold the quartiles as rows, one per column."""
     rows = [
-        (name, s.count, s.mean, s.std, s.low, s.quantiles[0.25], s.quantiles[0.5], s.quantiles[0.75], s.high)
+        (name, s.count, s.mean, s.std, s.low, *(s.quantiles[q] for q in QUARTILES), s.high)
         for name, s in stats.items()
     ]
     schema = (
         "feature string, count long, mean double, std double, min double, "
         "p25 double, p50 double, p75 double, max double"
     )
-    return df.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, schema)
