@@ -1,7 +1,8 @@
 """Exact dedup against a persistent index of text digests.
 
 The index is a table bucketed and sorted by digest, so the anti-join that finds
-new digests neither shuffles nor sorts what is already there.
+new digests does not shuffle what is already there. Spark does sort each bucket
+again: after several appends it holds several sorted files.
 """
 
 from __future__ import annotations
