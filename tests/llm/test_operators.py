@@ -485,6 +485,13 @@ def test_urls_awkward(spark):
     assert {r["verdict"] for r in urls.judge(pages.where("page_id = 6"), listed.where("false")).collect()} == {"allow"}
 
 
+def test_listed_urls_are_made_canonical(spark):
+    rows = [(1, "https://bad.site/page/?q"), (2, "http://bad.site/page2"), (3, "http://m.gone.io/x/y"), (4, "http://a.lost.org/"), (5, "http://lost.com/z")]
+    listed = spark.createDataFrame([("http://www.Bad.site/page/index.html",), ("http://www.bad.SITE/page.html?x#y",), ("ftp://gone.io",), ("://",), ("https://lost.com//z/",)], "key string")
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), listed).collect()
+    assert {r["page_id"]: r["listed_key"] for r in got} == {1: "bad.site/page", 2: None, 3: "gone.io", 4: None, 5: "lost.com/z"}
+
+
 def test_filter_misses_nothing(spark):
     keys = spark.range(5000).selectExpr("concat('k', id) AS key")
     made = urls.build_filter(keys)

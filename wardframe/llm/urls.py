@@ -134,13 +134,16 @@ def judge(
 
     The longest rule that fits decides. Where none fits, a URL is blocked if
     its canonical form, its host or a parent host is in ``listed`` (``key``),
-    else allowed. A null URL, or one without ``://``, has neither host nor path and
+    else allowed. A listed key with ``://`` is a URL and made canonical here; one
+    without a path then stands for its host. A null URL, or one without ``://``, has neither host nor path and
     is allowed. ``listed_key`` is the longest listed key of a URL no rule fits.
 
     Verdicts of the list are found once per distinct URL that passes the
     filter; a URL or host with a third of all rows is one row per task there.
     """
-    keys = listed.select(F.col("key").cast("string").alias("key")).where("key <> ''").distinct()
+    given = F.col("key").cast("string")
+    key = F.when(given.contains("://"), canonical(host_of(given), path_of(given))).otherwise(given)
+    keys = listed.select(key.alias("key")).where("key <> ''").distinct()
     keys = materialize(keys, "listed-keys")
     shared = pages.sparkSession.sparkContext.broadcast(build_filter(keys))  # at most MOST_BYTES
 
