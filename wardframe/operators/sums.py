@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardframe.session import compiled_methods
+from wardframe.session import compiled_methods, small_batches
 
 Compute = Callable[[np.ndarray], np.ndarray]
 #: Numbers of a vector that are shuffled together.
@@ -55,7 +55,7 @@ def _added(parts: DataFrame, size: int) -> np.ndarray:
     else:
         added = parts.repartition("place").mapInArrow(add, _PARTS)
     result = np.zeros(size)
-    with compiled_methods(parts.sparkSession):
+    with compiled_methods(parts.sparkSession), small_batches(parts.sparkSession):
         rows = added.collect()
     for row in rows:
         result[row["place"] : row["place"] + len(row["part"])] = row["part"]
@@ -89,7 +89,7 @@ def block_totals(blocks: DataFrame, width: int, size: int, compute: Compute) ->
     """The same over packed blocks of ``width`` columns."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = (np.frombuffer(b, np.float64) for batch in batches for b in batch.column(0).to_pylist())
+        packed = (np.frombuffer(b.as_buffer(), np.float64) for batch in batches for b in batch.column(0))
         return _totals((m.reshape(-1, width) for m in packed), size, compute)
 
     return _added(blocks.mapInArrow(partial, _PARTS), size)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 # model with dozens of columns exceeds it; Spark then splits it into smaller ones.
 _METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
 
+# Arrow batches of wide cells (texts, blocks of rows) grow to this size at most; a Python
+# worker holds a few times as much.
+_BATCH_LIMIT = ("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
 # Timestamps are zone-free in the sources, so UTC keeps minute arithmetic plain.
 SETTINGS = {
     _METHOD_LIMIT[0]: _METHOD_LIMIT[1],
@@ -35,11 +39,9 @@ def get_session(app: str = "wardframe", master: str | None = None, **conf: str)
 
 
 @contextmanager
-def compiled_methods(spark: SparkSession) -> Iterator[None]:
-    """Run wide expressions in methods the JVM compiles, in any session."""
-    name, limit = _METHOD_LIMIT
+def _set(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name, None)
-    spark.conf.set(name, limit)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
@@ -49,6 +51,16 @@ def compiled_methods(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
+def compiled_methods(spark: SparkSession) -> AbstractContextManager[None]:
+    """Run wide expressions in methods the JVM compiles, in any session."""
+    return _set(spark, *_METHOD_LIMIT)
+
+
+def small_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Hand Python workers a few megabytes at a time, however large the cells, in any session."""
+    return _set(spark, *_BATCH_LIMIT)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can read, as the session names it.
 
