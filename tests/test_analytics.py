@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from wardframe.fixed_values import (
     X_BINARY,
     X_CONTINUOUS,
 )
-from wardframe.operators import fitting, metrics, prepare
+from wardframe.operators import fitting, metrics, prepare, sums
 from wardframe.operators import interventions as what_if
 from wardframe.operators.correlation import correlation_matrix
 from wardframe.operators.scoring import (
@@ -504,6 +505,50 @@ def test_curvature_is_that_of_outputs_taken_as_linear(pandas_prepared):
     assert fitting.batch_curvature(x, s, w) == pytest.approx(expected, rel=1e-4, abs=1e-4)
 
 
+def test_a_joint_pass_adds_up_few_numbers(frame, monkeypatch):
+    """The curvature's 316 x 316 cells come from sums over some seventy columns, not from a sum of each cell."""
+    sizes, whole = [], fitting.block_totals
+    monkeypatch.setattr(fitting, "block_totals", lambda b, width, size, f: sizes.append(size) or whole(b, width, size, f))
+    ready, _ = prepare.prepared(frame)
+    weights = fitting.Weights.start(len(C_TEXT))
+    with fitting._kept(fitting._joint_rows(ready, C_TEXT)) as blocks:
+        step = fitting.joint_step(blocks, weights, C_TEXT, curvature=True)
+    assert step.curvature.shape == (316, 316) and sizes[0] < 5_000
+
+
+@pytest.mark.parametrize("text", [0, 8])
+def test_curvature_equals_that_of_written_out_lines(text):
+    rng = np.random.default_rng(5)
+    x, s = rng.normal(size=(50, len(FEATURES))), rng.normal(size=(50, text))
+    w = fitting.Weights.start(text)
+    raw = x @ w.concept
+    binary = np.arange(len(CONCEPTS)) >= len(C_CONTINUOUS)
+    made = np.where(binary, sigmoid(raw), raw)
+    slope = np.where(binary, made * (1 - made), 1.0)
+    p = sigmoid(made @ w.label + s @ w.text)
+    lines = np.concatenate([(x[:, :, None] * (slope * w.label)[:, None, :]).reshape(50, -1), made, s], axis=1)
+    expected = (lines * (p * (1 - p))[:, None]).T @ lines
+    for k in range(len(CONCEPTS)):
+        own = np.arange(len(FEATURES)) * len(CONCEPTS) + k
+        share = CONCEPT_LOSS_WEIGHT * (1 / len(C_BINARY) if binary[k] else 2 / len(C_CONTINUOUS))
+        expected[np.ix_(own, own)] += share * (x * slope[:, [k]]).T @ x
+    assert fitting.batch_curvature(x, s, w) == pytest.approx(expected, rel=1e-9, abs=1e-9)
+
+
+def test_blocks_reach_python_a_few_megabytes_at_a_time(spark):
+    cells = spark.range(0, 40, 1, 1).select(F.expr("cast(repeat('x', 1000000) as binary)").alias("block"))
+
+    def batches_seen(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([0], pa.int64()), pa.array([[1.0]], pa.list_(pa.float64()))], names=["place", "part"]
+            )
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    assert sums._added(cells.mapInArrow(batches_seen, sums._PARTS), 1)[0] >= 4
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+
+
 def test_joint_fit_beats_a_hundred_gradient_steps(frame, pandas_prepared):
     ready, _ = prepare.prepared(frame)
     fit = fitting.fit_joint(ready, with_text=True)

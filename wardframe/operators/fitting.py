@@ -42,6 +42,8 @@ NEWTON_STEPS = 50
 NEWTON_TOLERANCE = 1e-9
 #: Passes over the rows that a joint fit takes at most.
 JOINT_PASSES = 40
+#: Rows that a joint pass takes at a time, so that what is made of them stays in the processor's cache.
+SLICE_ROWS = 4_000
 #: Steps without a validation loss lower by JOINT_GAIN (a share of it) that end a joint fit.
 JOINT_WAIT, JOINT_GAIN = 2, 1e-3
 
@@ -254,47 +256,112 @@ class Weights:
         return cls(draw(features, features, concepts), draw(concepts, concepts), draw(text, text))
 
 
+def _predicted(x: np.ndarray, w: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Concepts before and after their activation: only the binary ones, which come last, have one."""
+    raw = x @ w.concept
+    concepts = raw.copy()
+    concepts[:, len(C_CONTINUOUS) :] = 1.0 / (1.0 + np.exp(-raw[:, len(C_CONTINUOUS) :]))
+    return raw, concepts
+
+
 def batch_sums(x: np.ndarray, c: np.ndarray, s: np.ndarray, y: np.ndarray, w: Weights) -> tuple[float, np.ndarray]:
     """Loss and gradient of the joint loss, summed over the rows of a batch."""
-    binary = np.arange(len(CONCEPTS)) >= len(C_CONTINUOUS)
-    raw = x @ w.concept
-    concepts = np.where(binary, 1.0 / (1.0 + np.exp(-raw)), raw)
+    first = len(C_CONTINUOUS)
+    raw, concepts = _predicted(x, w)
     logit = concepts @ w.label + s @ w.text
     error = 1.0 / (1.0 + np.exp(-logit)) - y
     miss = concepts - c
     label_loss = np.logaddexp(0.0, logit) - y * logit
-    binary_loss = (np.logaddexp(0.0, raw) - c * raw)[:, binary].mean(axis=1)
-    continuous_loss = (miss[:, ~binary] ** 2).mean(axis=1)
+    binary_loss = (np.logaddexp(0.0, raw[:, first:]) - c[:, first:] * raw[:, first:]).mean(axis=1)
+    continuous_loss = (miss[:, :first] ** 2).mean(axis=1)
     loss = label_loss.sum() + CONCEPT_LOSS_WEIGHT * (binary_loss.sum() + continuous_loss.sum())
-    slope = np.where(binary, concepts * (1.0 - concepts), 1.0)
-    pull = np.where(binary, 1.0 / len(C_BINARY), 2.0 / len(C_CONTINUOUS))
-    into_raw = np.outer(error, w.label) * slope + CONCEPT_LOSS_WEIGHT * pull * miss
+    into_raw = np.outer(error, w.label)
+    into_raw[:, first:] *= concepts[:, first:] * (1.0 - concepts[:, first:])
+    miss[:, :first] *= CONCEPT_LOSS_WEIGHT * (2.0 / len(C_CONTINUOUS))
+    miss[:, first:] *= CONCEPT_LOSS_WEIGHT * (1.0 / len(C_BINARY))
+    into_raw += miss
     gradient = np.concatenate([(x.T @ into_raw).ravel(), concepts.T @ error, s.T @ error])
     return float(loss), gradient
 
 
-def batch_curvature(x: np.ndarray, s: np.ndarray, w: Weights) -> np.ndarray:
-    """Gauss-Newton matrix of the joint loss, summed over the rows of a batch.
+def _upper(size: int) -> np.ndarray:
+    return np.triu(np.ones((size, size), bool))
+
+
+def _whole(half: np.ndarray, size: int) -> np.ndarray:
+    """A symmetric matrix out of its upper half."""
+    matrix = np.zeros((size, size))
+    matrix[_upper(size)] = half
+    return matrix + np.triu(matrix, 1).T
+
+
+def _curvature_sizes(text: int) -> tuple[int, int]:
+    """Columns that all lines of the curvature are made of, and the numbers that ``curvature_sums`` returns."""
+    features, binary = len(FEATURES), len(C_BINARY)
+    columns = features * (1 + binary) + binary + text
+    return columns, columns * (columns + 1) // 2 + (1 + binary) * features * (features + 1) // 2
+
+
+def curvature_sums(x: np.ndarray, s: np.ndarray, w: Weights) -> np.ndarray:
+    """What ``gauss_newton`` needs of the rows of a batch: sums of products of few columns.
+
+    A continuous concept is linear in the features, so what goes through it is a
+    constant times products of features; only the binary ones bend row by row. Some
+    70 columns (features, features times each binary slope, binary concepts, texts)
+    carry the products of all some 300 weights.
+    """
+    _, concepts = _predicted(x, w)
+    bent = concepts[:, len(C_CONTINUOUS) :]
+    slope = bent * (1.0 - bent)
+    p = 1.0 / (1.0 + np.exp(-(concepts @ w.label + s @ w.text)))
+    weight = np.sqrt(p * (1.0 - p))[:, None]
+    features, many = len(FEATURES), slope.shape[1]
+    columns = np.empty((len(x), _curvature_sizes(s.shape[1])[0]))
+    np.multiply(x, weight, out=columns[:, :features])
+    for b in range(many):
+        np.multiply(columns[:, :features], slope[:, [b]], out=columns[:, features * (1 + b) : features * (2 + b)])
+    np.multiply(bent, weight, out=columns[:, features * (1 + many) : features * (1 + many) + many])
+    np.multiply(s, weight, out=columns[:, features * (1 + many) + many :])
+    # a product of a matrix with itself takes half the work of one of two
+    parts = [(columns.T @ columns)[_upper(columns.shape[1])]]
+    for part in (np.ascontiguousarray(x), *(x * np.sqrt(slope[:, [b]]) for b in range(many))):
+        parts.append((part.T @ part)[_upper(features)])
+    return np.concatenate(parts)
+
+
+def gauss_newton(sums: np.ndarray, w: Weights) -> np.ndarray:
+    """Gauss-Newton matrix of the joint loss from ``curvature_sums``.
 
     The outputs (label and concepts) are taken as linear in the weights, and the losses
     as they bend in the outputs, so the matrix has no negative direction.
     """
-    many = len(CONCEPTS)
-    binary = np.arange(many) >= len(C_CONTINUOUS)
-    raw = x @ w.concept
-    concepts = np.where(binary, 1.0 / (1.0 + np.exp(-raw)), raw)
-    slope = np.where(binary, concepts * (1.0 - concepts), 1.0)
-    p = 1.0 / (1.0 + np.exp(-(concepts @ w.label + s @ w.text)))
-    through = x[:, :, None] * (slope * w.label)[:, None, :]
-    lines = np.concatenate([through.reshape(len(x), -1), concepts, s], axis=1)
-    total = (lines * (p * (1.0 - p))[:, None]).T @ lines
-    bend = CONCEPT_LOSS_WEIGHT * slope * np.where(binary, 1.0 / len(C_BINARY), 2.0 / len(C_CONTINUOUS))
+    features, many, first, text = len(FEATURES), len(CONCEPTS), len(C_CONTINUOUS), w.text.size
+    columns, _ = _curvature_sizes(text)
+    edge, products = features * many, columns * (columns + 1) // 2
+    # how each weight's line is made of the columns
+    made = np.zeros((columns, w.flat().size))
     for k in range(many):
-        own = np.arange(x.shape[1]) * many + k
-        total[np.ix_(own, own)] += (x * bend[:, [k]]).T @ x
+        block = 0 if k < first else (1 + k - first) * features
+        made[np.arange(block, block + features), np.arange(features) * many + k] = w.label[k]
+        if k < first:
+            made[:features, edge + k] = w.concept[:, k]
+        else:
+            made[features * (1 + many - first) + k - first, edge + k] = 1.0
+    made[columns - text :, edge + many :] = np.eye(text)
+    total = made.T @ _whole(sums[:products], columns) @ made
+    own = [_whole(part, features) for part in sums[products:].reshape(1 + many - first, -1)]
+    for k in range(many):
+        share = 2.0 / first if k < first else 1.0 / (many - first)
+        place = np.arange(features) * many + k
+        total[np.ix_(place, place)] += CONCEPT_LOSS_WEIGHT * share * own[0 if k < first else 1 + k - first]
     return total
 
 
+def batch_curvature(x: np.ndarray, s: np.ndarray, w: Weights) -> np.ndarray:
+    """Gauss-Newton matrix of the joint loss, summed over the rows of a batch."""
+    return gauss_newton(curvature_sums(x, s, w), w)
+
+
 @dataclass
 class JointStep:
     """Mean losses, mean training gradient and, if asked for, the mean Gauss-Newton matrix."""
@@ -309,38 +376,35 @@ def joint_step(blocks: DataFrame, w: Weights, text: Sequence[str], curvature: bo
     """The joint losses at given weights: one job per call.
 
     Blocks hold features, concepts, text concepts, label and a mark for training
-    rows. The upper half of the curvature matrix is some 50,000 numbers a task, so
-    a pass that asks for it takes as many tasks as there are cores, not as there are blocks.
+    rows. Of the curvature a task returns some 3,000 sums, not the matrix.
     """
     features, concepts, width = len(FEATURES), len(CONCEPTS), len(text)
     many = w.flat().size
-    size = 4 + many + (many * (many + 1) // 2 if curvature else 0)
+    size = 4 + many + (_curvature_sizes(width)[1] if curvature else 0)
 
     def sums_of(batch: np.ndarray) -> np.ndarray:
         total = np.zeros(size)
-        for train, place in ((True, 0), (False, 2)):
-            part = batch[(batch[:, -1] == 1.0) == train]
-            x, c = part[:, :features], part[:, features : features + concepts]
-            s = part[:, features + concepts : features + concepts + width]
-            loss, gradient = batch_sums(x, c, s, part[:, -2], w)
-            total[place : place + 2] = len(part), loss
-            if train:
-                total[4 : 4 + many] = gradient
-                if curvature:
-                    total[4 + many :] = batch_curvature(x, s, w)[np.triu(np.ones((many, many), bool))]
+        for start in range(0, len(batch), SLICE_ROWS):
+            rows = batch[start : start + SLICE_ROWS]
+            for train, place in ((True, 0), (False, 2)):
+                part = rows[(rows[:, -1] == 1.0) == train]
+                x, c = part[:, :features], part[:, features : features + concepts]
+                s = part[:, features + concepts : features + concepts + width]
+                loss, gradient = batch_sums(x, c, s, part[:, -2], w)
+                total[place : place + 2] += len(part), loss
+                if train:
+                    total[4 : 4 + many] += gradient
+                    if curvature:
+                        total[4 + many :] += curvature_sums(x, s, w)
         return total
 
-    if curvature:
-        blocks = blocks.coalesce(blocks.sparkSession.sparkContext.defaultParallelism)
     sums = block_totals(blocks, features + concepts + width + 2, size, sums_of)
     train_rows, train_loss, valid_rows, valid_loss = sums[:4]
     step = JointStep(
         train_loss / max(train_rows, 1), valid_loss / max(valid_rows, 1), sums[4 : 4 + many] / max(train_rows, 1)
     )
     if curvature:
-        half = np.zeros((many, many))
-        half[np.triu(np.ones((many, many), bool))] = sums[4 + many :] / max(train_rows, 1)
-        step.curvature = half + np.triu(half, 1).T
+        step.curvature = gauss_newton(sums[4 + many :] / max(train_rows, 1), w)
     return step
 
 
