@@ -326,11 +326,15 @@ SEVERITY = {C_BINARY[0]: "kinds >= 5", C_BINARY[1]: "kinds >= 3 AND kinds < 5"}
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One modelling row per order; columns are null where it has no such line."""
+    """One modelling row per order; columns are null where it has no such line.
+
+    An order has few lines and some forty aggregates. Aggregating before the shuffle would
+    hold all of them for every order that a task meets, spill, and send more than the lines.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias(KEY), *(F.expr(e).alias(n) for n, e in LINE_COLUMNS.items())
     )
-    per_order = lines.groupBy(KEY).agg(
+    per_order = lines.where(F.col(KEY).isNotNull()).repartition(KEY).groupBy(KEY).agg(
         *(F.expr(e).alias(n) for n, e in frame_columns().items()),
         F.count_if(F.col("status") == "F").alias("closed_lines"),
         F.count_if(F.col("status") == "O").alias("open_lines"),

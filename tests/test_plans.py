@@ -7,9 +7,11 @@ from contextlib import contextmanager
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from bindings import tables as t
 from bindings.catalog import QUERIES
+from wardframe.fixed_values import X_BINARY, X_CONTINUOUS
 from wardframe.operators.worst_row import ORGANS, worst_row_by_window
 from wardframe.session import materialize, shared_folder
 
@@ -92,3 +94,31 @@ def test_materialized_tables_are_written(spark):
     assert sorted(r["x"] for r in table.collect()) == [0, 1, 2]
     assert all("/numbers-" in f and shared_folder(spark).removeprefix("file:").lstrip("/") in f for f in table.inputFiles())
     assert not any("Range" in line for line in plan(table))
+
+
+def test_frame_shuffles_lines_and_not_forty_aggregates_of_each_order(spark, tmp_path):
+    lines = [
+        # key, quantity, price, discount, tax, line, flag, status
+        (1, 10.0, 1050.0, 0.05, 0.02, 1, "R", "F"),
+        (1, 46.0, 99000.0, 0.10, 0.08, 4, "N", "O"),
+        (1, None, None, None, None, 2, None, None),
+        (2, 3.0, 500.0, 0.0, 0.0, 3, "A", "O"),
+        (None, 50.0, 1.0, 0.1, 0.1, 1, "R", "F"),
+    ]
+    kinds = "double, l_extendedprice double, l_discount double, l_tax double, l_linenumber int"
+    schema = f"l_orderkey long, l_quantity {kinds}, l_returnflag string, l_linestatus string"
+    spark.createDataFrame(lines, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(k, "1-URGENT", "O", 1000.0) for k in (1, 2, 2, 3, None)]
+    order_schema = "o_orderkey long, o_orderpriority string, o_orderstatus string, o_totalprice double"
+    spark.createDataFrame(orders, order_schema).write.parquet(f"{tmp_path}/orders.parquet")
+    frame = t.frame(spark, str(tmp_path))
+    first, *copies, bare, unknown = frame.orderBy(F.col("hadm_id").asc_nulls_last()).collect()
+    assert [r["hadm_id"] for r in (first, *copies, bare, unknown)] == [1, 2, 2, 3, None] and copies[0] == copies[1]
+    assert [first[c] for c in X_CONTINUOUS[:5]] == [46.0, 28.0, 7.5, 5.0, 500.0]
+    assert [first[c] for c in X_BINARY] == [1, 0, 1, 1, 1, 1]
+    assert bare[X_CONTINUOUS[0]] is None and unknown[X_CONTINUOUS[0]] is None and unknown[X_CONTINUOUS[-1]] == 0.0
+    plan = frame._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = next(i for i, line in enumerate(plan) if "partial_avg" in line)
+    final = max(i for i, line in enumerate(plan[:partial]) if "Aggregate" in line)
+    assert not any("Exchange" in line for line in plan[final:partial])
+    assert any("Exchange" in line for line in plan[partial:])
