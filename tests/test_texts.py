@@ -24,6 +24,7 @@ from wardframe.shipping import ship_by_value
 from wardframe.sources.quoted_csv import read_quoted_csv
 from wardframe.sources.readers import read_notes_csv, read_parquet
 from wardframe.operators.keys import first_rows
+from wardframe.operators import label_many as label_many_module
 from wardframe.operators.label_many import label_many, label_new
 from wardframe.sources.sinks import append_labels, existing_labels, write_csv
 
@@ -378,3 +379,28 @@ def test_many_concepts_cross_the_network_once(spark):
 def test_batch_starts_anywhere(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     assert [r["k"] for r in first_rows(df, ["k"], rows=3, start=4).collect()] == [4, 5, 6]
+
+
+def _telling_size():
+    def label(prompts):
+        return [f"Yes: {sum(map(len, prompts))}"] * len(prompts)
+
+    return label
+
+
+def test_prompts_are_built_a_few_megabytes_at_a_time(spark):
+    """Each answer tells how long its list of prompts was; every chunk is asked once for both concepts."""
+    df = spark.range(30).select(F.col("id").alias("k"), F.expr("repeat('word ', 60000)").alias("discharge_text"))
+    rows = label_many(df, "k", "discharge_text", _telling_size, ["ards_detected", "trali_detected"]).collect()
+    assert len(rows) == 60 and {r["detected"] for r in rows} == {"Yes"} and not any(r["failed"] for r in rows)
+    assert max(int(r["explanation"].split()[-1]) for r in rows) < 2_100_000
+
+
+def test_lists_of_prompts_hold_every_prompt_once(monkeypatch):
+    monkeypatch.setattr(label_many_module, "PROMPT_CHARACTERS", 10)
+    rows = [("abcde", ["x", "y"]), (None, ["x"]), ("", []), ("f", ["y"]), ("g", ["x"])]
+    found = list(label_many_module._lists(rows, {"x": ("1", "2"), "y": ("3", "4")}))
+    assert found == [
+        ([(0, "x"), (0, "y")], ["1abcde2", "3abcde4"]),
+        ([(3, "y"), (4, "x")], ["3f4", "1g2"]),
+    ]

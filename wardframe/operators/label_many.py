@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +26,9 @@ from wardframe.sources.sinks import append_labels, existing_labels
 #: Answers a list of prompts with a list as long; an exception in a place is that prompt's failure.
 BatchLabeller = Callable[[list[str]], Sequence["str | Exception"]]
 
+#: Characters of the prompts that a task builds before it asks them.
+PROMPT_CHARACTERS = 2_000_000
+
 LABELS = "concept string, text_length int, detected string, explanation string"
 
 
@@ -49,6 +52,23 @@ def one_by_one(make_labeller: Callable[[], Labeller]) -> Callable[[], BatchLabel
     return make
 
 
+def _lists(
+    rows: Iterable[tuple[str | None, Iterable[str]]], templates: Mapping[str, Sequence[str]]
+) -> Iterator[tuple[list[tuple[int, str]], list[str]]]:
+    """The prompts of the rows, with their row and concept, in lists of some ``PROMPT_CHARACTERS``."""
+    places, prompts, held = [], [], 0
+    for row, (chunk, concepts) in enumerate(rows):
+        for concept in concepts if chunk is not None else ():
+            places.append((row, concept))
+            prompts.append(chunk.join(templates[concept]))
+            held += len(prompts[-1])
+        if held >= PROMPT_CHARACTERS:
+            yield places, prompts
+            places, prompts, held = [], [], 0
+    if prompts:
+        yield places, prompts
+
+
 def _ask(spread: DataFrame, make_labeller: Callable[[], BatchLabeller]) -> Column:
     templates = {c: p.split("{text}") for c, p in PROMPTS.items()}
 
@@ -56,21 +76,16 @@ def _ask(spread: DataFrame, make_labeller: Callable[[], BatchLabeller]) -> Colum
     def answers(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         labeller = make_labeller()
         for chunks, wanted in batches:
-            places, prompts = [], []
-            for row, (chunk, concepts) in enumerate(zip(chunks, wanted, strict=True)):
-                if chunk is not None:
-                    for concept in concepts:
-                        places.append((row, concept))
-                        prompts.append(chunk.join(templates[concept]))
-            try:
-                found = list(labeller(prompts)) if prompts else []
-            except Exception as error:  # noqa: BLE001 - the whole call failed
-                found = [error] * len(prompts)
             rows: list[list[dict]] = [[] for _ in range(len(chunks))]
-            for (row, concept), answer in zip(places, found, strict=True):
-                failed = isinstance(answer, Exception)
-                text = f"{LABELLER_ERROR}{answer}" if failed else answer
-                rows[row].append({"concept": concept, "answer": text, "failed": failed})
+            for places, prompts in _lists(zip(chunks, wanted, strict=True), templates):
+                try:
+                    found = list(labeller(prompts))
+                except Exception as error:  # noqa: BLE001 - the whole call failed
+                    found = [error] * len(prompts)
+                for (row, concept), answer in zip(places, found, strict=True):
+                    failed = isinstance(answer, Exception)
+                    text = f"{LABELLER_ERROR}{answer}" if failed else answer
+                    rows[row].append({"concept": concept, "answer": text, "failed": failed})
             yield pd.Series(rows)
 
     return answers("chunk", "todo")

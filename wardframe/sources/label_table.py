@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardframe.fixed_values import KEY
+from wardframe.session import small_batches
 
 CONCEPT = "concept"
 
@@ -119,7 +120,8 @@ class LabelTable:
         folder, name = f"data-{uuid.uuid4().hex}", f"labels_{uuid.uuid4().hex}"
         writer = rows.select(*self.schema.fieldNames()).repartition(self.buckets, self.key).sortWithinPartitions(self.key)
         writer = writer.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key)
-        writer.option("path", f"{self.path}/{folder}").saveAsTable(name)
+        with small_batches(self.spark):  # labels may be asked for as they are written
+            writer.option("path", f"{self.path}/{folder}").saveAsTable(name)
         self._tables[folder] = name
         return folder
 
