@@ -323,6 +323,8 @@ LINE_COLUMNS = {
     "status": "l_linestatus",
 }
 SEVERITY = {C_BINARY[0]: "kinds >= 5", C_BINARY[1]: "kinds >= 3 AND kinds < 5"}
+#: Orders and lines that one task joins: their aggregates (some 400 bytes an order, held up to three times) fit its memory.
+ROWS_PER_TASK = 1_500_000
 
 
 def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,16 +332,20 @@ def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     An order has few lines and some forty aggregates. Aggregating before the shuffle would
     hold all of them for every order that a task meets, spill, and send more than the lines.
+    Lines are small in the shuffle and their aggregates are not, so the rows, counted in the
+    Parquet footers, and not shuffled bytes tell how many tasks share them.
     """
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", KEY)
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias(KEY), *(F.expr(e).alias(n) for n, e in LINE_COLUMNS.items())
     )
-    per_order = lines.where(F.col(KEY).isNotNull()).repartition(KEY).groupBy(KEY).agg(
+    rows = orders.count() + lines.count()
+    tasks = max(spark.sparkContext.defaultParallelism, rows // ROWS_PER_TASK + 1)
+    per_order = lines.where(F.col(KEY).isNotNull()).repartition(tasks, KEY).groupBy(KEY).agg(
         *(F.expr(e).alias(n) for n, e in frame_columns().items()),
         F.count_if(F.col("status") == "F").alias("closed_lines"),
         F.count_if(F.col("status") == "O").alias("open_lines"),
     )
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", KEY)
     zero_if_missing = (X_CONTINUOUS[-1], *X_BINARY, "closed_lines", "open_lines")
     joined = orders.join(per_order, KEY, "left").na.fill(0, list(zero_if_missing))
     kinds = total(F.col(c) for c in X_BINARY)

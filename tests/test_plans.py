@@ -122,3 +122,27 @@ def test_frame_shuffles_lines_and_not_forty_aggregates_of_each_order(spark, tmp_
     final = max(i for i, line in enumerate(plan[:partial]) if "Aggregate" in line)
     assert not any("Exchange" in line for line in plan[final:partial])
     assert any("Exchange" in line for line in plan[partial:])
+
+
+def test_frame_tasks_follow_the_rows_and_not_the_shuffled_bytes(spark, tmp_path, monkeypatch):
+    ids = spark.range(800)
+    ids.select(
+        (F.col("id") % 200).alias("l_orderkey"),
+        *(F.lit(1.0).alias(f"l_{c}") for c in ("quantity", "extendedprice", "discount", "tax")),
+        (F.floor(F.col("id") / 200) + 1).cast("int").alias("l_linenumber"),
+        F.lit("R").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    ids.where("id < 200").selectExpr(
+        "id o_orderkey", "'5-LOW' o_orderpriority", "'O' o_orderstatus", "1000.0D o_totalprice"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+
+    def tasks_and_rows() -> tuple[int, list]:
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            rows = t.frame(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).orderBy("hadm_id").collect()
+        return len({r["task"] for r in rows}), [r[:-1] for r in rows]
+
+    tasks, rows = tasks_and_rows()
+    assert tasks <= 4 and len(rows) == 200
+    monkeypatch.setattr(t, "ROWS_PER_TASK", 100, raising=False)
+    assert tasks_and_rows() == (11, rows)
